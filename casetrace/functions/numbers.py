@@ -12,7 +12,7 @@ def parse_score(text: Column | str) -> Column:
     """Text -> NUMBER(2) as int: rounded half away from zero, NULL when it is
     not a number or falls outside -99..99 (never raises)."""
     col = F.col(text) if isinstance(text, str) else text
-    value = F.try_cast(F.nullif(F.trim(col), F.lit("")), "decimal(38,10)")
+    value = F.nullif(F.trim(col), F.lit("")).try_cast("decimal(38,10)")
     rounded = F.round(value, 0)
     return F.when(rounded.between(SCORE_MIN, SCORE_MAX), rounded.cast("int"))
 
