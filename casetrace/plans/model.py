@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casetrace.operators.keys import append_new, lookup_id
+from casetrace.operators.quality import assert_valid
 from casetrace.schema import ID_COLUMN, ID_ORDER, INSERT_KEY, MODEL_SCHEMAS
 
 PERSON_KEY = {"person_given": "given", "person_family": "family",
@@ -153,7 +154,7 @@ def build_person_stay(keyed: DataFrame, existing: DataFrame | None = None) -> Da
 
 
 def build_person_treatment(keyed: DataFrame, treatment: DataFrame,
-                           existing: DataFrame | None = None) -> DataFrame:
+                           existing: DataFrame | None = None, screen=None) -> DataFrame:
     """Treatment matched on its description only, so a description stored
     with k scores gives k rows.  De-duplicated first, then fanned out; the
     fan-out cannot create duplicates because the treatment ids differ."""
@@ -164,6 +165,8 @@ def build_person_treatment(keyed: DataFrame, treatment: DataFrame,
     incoming = (lookup_id(given, treatment, {"treatment": "description"}, "treatment_id")
                 .select("person_id", "treatment_id", "person_score", "treated_from",
                         "treated_to"))
+    if screen is not None:
+        incoming = screen("person_treatment", incoming)
     return _finish("person_treatment", existing, incoming)
 
 
@@ -183,7 +186,7 @@ def build_contact(staging: DataFrame, person: DataFrame, associate: DataFrame,
 
 
 def build_acquaintance(keyed: DataFrame, associate: DataFrame,
-                       existing: DataFrame | None = None) -> DataFrame:
+                       existing: DataFrame | None = None, screen=None) -> DataFrame:
     """One row per (associate, person); its date is the latest met-on
     date over *all* feed rows of the person, not only that associate's."""
     pairs = (lookup_id(keyed.select("person_id", *ASSOCIATE_KEY).distinct(),
@@ -191,19 +194,40 @@ def build_acquaintance(keyed: DataFrame, associate: DataFrame,
              .select("associate_id", "person_id"))
     latest = keyed.groupBy("person_id").agg(F.max("met_on").alias("met_on"))
     incoming = pairs.join(latest, "person_id").select("met_on", "associate_id", "person_id")
+    if screen is not None:
+        incoming = screen("acquaintance", incoming)
     return _finish("acquaintance", existing, incoming)
 
 
 # -- the whole model ----------------------------------------------------------
 
+NULL_MODES = ("report", "drop", "fail")
+
+
+def drop_null_rows(table: str, df: DataFrame) -> DataFrame:
+    """Rows of ``table`` with a NULL in a NOT NULL column left out."""
+    required = [f.name for f in MODEL_SCHEMAS[table].fields
+                if not f.nullable and f.name != ID_COLUMN[table]]
+    return df.where(_not_null(*required))
+
+
 def build_model(staging: DataFrame, existing: Model | None = None,
-                keep_keyed: bool = False) -> Model:
+                on_null: str = "report", keep_keyed: bool = False) -> Model:
     """Route ``/build``: B1-B9 in dependency order.
 
     Dimensions are numbered (and checkpointed inside K1) before anything joins
     to them.  The person-keyed feed is persisted for the four builders that
     read it and released at the end.
+
+    ``on_null`` decides what happens to bridge rows that would break a NOT
+    NULL rule (a treatment row without dates, a person without any met-on
+    date): keep them and let ``violations`` report them (``"report"``), leave
+    them out before they are numbered (``"drop"``), or raise ``ModelError``
+    before anything is written (``"fail"``, the original all-or-nothing
+    statement).
     """
+    if on_null not in NULL_MODES:
+        raise ValueError(f"on_null must be one of {NULL_MODES}, not {on_null!r}")
     old = existing.tables() if existing is not None else {}
     person = build_person(staging, old.get("person"))
     associate = build_associate(staging, old.get("associate"))
@@ -211,6 +235,7 @@ def build_model(staging: DataFrame, existing: Model | None = None,
     treatment = build_treatment(staging, old.get("treatment"))
 
     keyed = attach_person(staging, person).persist(StorageLevel.MEMORY_AND_DISK)
+    screen = (lambda t, df: drop_null_rows(t, df)) if on_null == "drop" else (lambda t, df: df)
     model = Model(
         person=person,
         associate=associate,
@@ -218,18 +243,16 @@ def build_model(staging: DataFrame, existing: Model | None = None,
         treatment=treatment,
         person_facility=build_person_facility(keyed, facility, old.get("person_facility")),
         person_stay=build_person_stay(keyed, old.get("person_stay")),
-        person_treatment=build_person_treatment(keyed, treatment, old.get("person_treatment")),
+        person_treatment=build_person_treatment(keyed, treatment, old.get("person_treatment"),
+                                                screen=screen),
         contact=build_contact(staging, person, associate, old.get("contact")),
-        acquaintance=build_acquaintance(keyed, associate, old.get("acquaintance")),
+        acquaintance=build_acquaintance(keyed, associate, old.get("acquaintance"),
+                                        screen=screen),
     )
     if not keep_keyed:
         keyed.unpersist()
+    if on_null == "fail":
+        assert_valid(model)
     return model
 
 
-BUILDERS = {
-    "associate": lambda s: build_associate(s),
-    "person": lambda s: build_person(s),
-    "facility": lambda s: build_facility(s),
-    "treatment": lambda s: build_treatment(s),
-}
