@@ -10,9 +10,9 @@ How the work is laid out on the cluster:
 * every builder de-duplicates its projection of the feed *before* any join
   (partial aggregation on the map side, so a key that holds a third of all
   rows still ships at most one row per map task);
-* the person id is attached to the feed once (``attach_person``) and that
-  keyed frame feeds B5, B6, B7 and B9; only B8 looks persons up by
-  (given, family);
+* the person id is attached to the feed once (``write_keyed``: one join,
+  written to the shared scratch folder) and that keyed table feeds B5, B6, B7
+  and B9; only B8 looks persons up by (given, family);
 * B9's "latest met-on date of the person" is a ``groupBy(person_id).max``
   joined to the distinct (associate, person) pairs, not a self-join of the
   feed;
@@ -26,13 +26,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casetrace.operators.keys import append_new, lookup_id
 from casetrace.operators.quality import assert_valid
 from casetrace.schema import ID_COLUMN, ID_ORDER, INSERT_KEY, MODEL_SCHEMAS
+from casetrace.session import scratch_path
 
 PERSON_KEY = {"person_given": "given", "person_family": "family",
               "person_address": "address"}
@@ -133,6 +133,16 @@ def attach_person(staging: DataFrame, person: DataFrame) -> DataFrame:
     return keyed.drop(*PERSON_KEY)
 
 
+def write_keyed(staging: DataFrame, person: DataFrame, path: str | None = None) -> DataFrame:
+    """``attach_person`` written once as parquet in the shared scratch folder
+    and read back: four builders scan it, each reading only its columns, and a
+    lost executor costs nothing to recompute."""
+    spark = staging.sparkSession
+    path = path or scratch_path(spark, "keyed")
+    attach_person(staging, person).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 # -- bridges ------------------------------------------------------------------
 
 def build_person_facility(keyed: DataFrame, facility: DataFrame,
@@ -212,12 +222,12 @@ def drop_null_rows(table: str, df: DataFrame) -> DataFrame:
 
 
 def build_model(staging: DataFrame, existing: Model | None = None,
-                on_null: str = "report", keep_keyed: bool = False) -> Model:
+                on_null: str = "report") -> Model:
     """Route ``/build``: B1-B9 in dependency order.
 
     Dimensions are numbered (and checkpointed inside K1) before anything joins
-    to them.  The person-keyed feed is persisted for the four builders that
-    read it and released at the end.
+    to them.  The person-keyed feed is written once to the shared scratch
+    folder for the four builders that read it.
 
     ``on_null`` decides what happens to bridge rows that would break a NOT
     NULL rule (a treatment row without dates, a person without any met-on
@@ -234,7 +244,7 @@ def build_model(staging: DataFrame, existing: Model | None = None,
     facility = build_facility(staging, old.get("facility"))
     treatment = build_treatment(staging, old.get("treatment"))
 
-    keyed = attach_person(staging, person).persist(StorageLevel.MEMORY_AND_DISK)
+    keyed = write_keyed(staging, person)
     screen = (lambda t, df: drop_null_rows(t, df)) if on_null == "drop" else (lambda t, df: df)
     model = Model(
         person=person,
@@ -249,8 +259,6 @@ def build_model(staging: DataFrame, existing: Model | None = None,
         acquaintance=build_acquaintance(keyed, associate, old.get("acquaintance"),
                                         screen=screen),
     )
-    if not keep_keyed:
-        keyed.unpersist()
     if on_null == "fail":
         assert_valid(model)
     return model

@@ -156,12 +156,17 @@ def persons_with_n_treatments_few_associates(m: Model, n: int = 2,
 def extremes_by_month(m: Model, k: int = 10) -> DataFrame:
     """Treatment rows per (month of suspicion, given, family) - persons
     sharing a name and month merge, years are ignored - the ``k`` largest
-    followed by the ``k`` smallest groups (a group can be in both)."""
-    groups = (m.person_treatment.select("person_id")
+    followed by the ``k`` smallest groups (a group can be in both).
+
+    Rows are counted per person first, so the join to ``person`` sees one
+    row per treated person instead of one per treatment row.
+    """
+    per_person = m.person_treatment.groupBy("person_id").agg(F.count(F.lit(1)).alias("rows"))
+    groups = (per_person
               .join(m.person.select("person_id", "given", "family",
                                     F.month("suspected_on").alias("month")), "person_id")
               .groupBy("month", "given", "family")
-              .agg(F.count(F.lit(1)).alias("n")))
+              .agg(F.sum("rows").cast("long").alias("n")))
     cols = ["month", "given", "family", "n"]
     top = groups.orderBy(F.desc("n"), "month", "given", "family").limit(k).select(*cols)
     bottom = groups.orderBy(F.asc("n"), "month", "given", "family").limit(k).select(*cols)
