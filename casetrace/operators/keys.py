@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casetrace.session import default_parallelism, ensure_checkpoint_dir
+from casetrace.session import ensure_checkpoint_dir
 
 _PID = "__ct_pid"
 _POS = "__ct_pos"
@@ -46,9 +46,12 @@ def assign_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str =
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or default_parallelism(spark)
     order = _order(order_cols)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without an explicit count the range exchange uses the session's shuffle
+    # partitions and AQE merges adjacent small ranges (order is kept), so a
+    # 25-row table does not become thousands of empty partitions.
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order)).sortWithinPartitions(*order)
     frozen = ranged.checkpoint(eager=True)
 
     tagged = frozen.select(
