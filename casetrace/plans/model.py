@@ -180,19 +180,26 @@ def build_person_treatment(keyed: DataFrame, treatment: DataFrame,
     return _finish("person_treatment", existing, incoming)
 
 
-def build_contact(staging: DataFrame, person: DataFrame, associate: DataFrame,
-                  existing: DataFrame | None = None) -> DataFrame:
-    """A contact is attributed to every person sharing the recorded
-    (given, family) - not only the one at the recorded address."""
+def contact_rows(staging: DataFrame, person: DataFrame, associate: DataFrame) -> DataFrame:
+    """B8 before numbering: distinct (kind, from, to, associate) per recorded
+    name, then fanned out to every person with that (given, family)."""
     seen = (staging.where(_not_null("contact_kind", "contact_from", "contact_to"))
             .select(*PERSON_NAME, *ASSOCIATE_KEY,
                     F.col("contact_kind").alias("kind"), "contact_from", "contact_to"))
     by_associate = (lookup_id(seen, associate, ASSOCIATE_KEY, "associate_id")
                     .drop(*ASSOCIATE_KEY)
                     .distinct())
-    incoming = (lookup_id(by_associate, person, PERSON_NAME, "person_id")
-                .select("kind", "contact_from", "contact_to", "associate_id", "person_id"))
-    return _finish("contact", existing, incoming)
+    return (lookup_id(by_associate, person, PERSON_NAME, "person_id")
+            .select("kind", "contact_from", "contact_to", "associate_id", "person_id"))
+
+
+def build_contact(staging: DataFrame, person: DataFrame, associate: DataFrame,
+                  existing: DataFrame | None = None) -> DataFrame:
+    """A contact is attributed to every person sharing the recorded
+    (given, family) - not only the one at the recorded address.  A name held
+    by very many persons makes both join sides hot; AQE's skew-join split
+    spreads it over tasks (tests/test_skew.py)."""
+    return _finish("contact", existing, contact_rows(staging, person, associate))
 
 
 def build_acquaintance(keyed: DataFrame, associate: DataFrame,
