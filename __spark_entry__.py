@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from casetrace.functions.dates import parse_date  # noqa: E402
+from casetrace.functions.numbers import parse_score  # noqa: E402
 from casetrace.operators.keys import append_new, assign_ids  # noqa: E402
 from casetrace.operators.quality import violations  # noqa: E402
 from casetrace.plans import reports as R  # noqa: E402
@@ -32,8 +33,9 @@ from casetrace.plans.model import (Model, attach_person, build_associate,  # noq
 from casetrace.schema import (CASE_RECORD_COLUMNS, DATE_COLUMNS, FOREIGN_KEYS,  # noqa: E402
                               ID_COLUMN, ID_ORDER, INSERT_KEY, LENGTH_LIMITS, MODEL_SCHEMAS)
 from casetrace.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
-from casetrace.sources.case_feed import (load_case_records, read_case_records,  # noqa: E402
-                                         stage, write_case_feed)
+from casetrace.sources.case_feed import (clean_case_records, load_case_records,  # noqa: E402
+                                         read_case_records, stage, to_feed_text,
+                                         write_case_feed)
 from casetrace.sources.fixtures import case_records_from_tables  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -93,6 +95,24 @@ def q_parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
                        for c in DATE_COLUMNS])
 
 
+def q_empty_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as text with every missing value written as '' (a
+    non-CSV source), cleaned back to typed records."""
+    text = to_feed_text(_staging(spark, sf_dir), reference_header=False)
+    blanked = text.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in text.columns])
+    return clean_case_records(blanked, on_bad="null").clean
+
+
+def q_numeric_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4: signed decimal texts derived from every line item, cast to
+    NUMBER(2): half away from zero, NULL beyond -99..99."""
+    line = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    text = F.concat((F.col("l_quantity").cast("int") * 4 - 100).cast("string"), F.lit("."),
+                    F.col("l_linenumber").cast("string"))
+    return line.select("l_orderkey", "l_linenumber", text.alias("score_text"),
+                       parse_score(text).alias("score"))
+
+
 def q_reject_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed written with unpadded day/month; values with a one-digit
     day or month are rejected, counted per column."""
@@ -157,6 +177,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "s1_csv_scan": q_csv_scan,
         "s2_staging_load": q_staging_load,
         "c1_parse_date": q_parse_date,
+        "c3_empty_to_null": q_empty_to_null,
+        "c4_numeric_cast": q_numeric_cast,
         "c5_reject_malformed": q_reject_malformed,
         "k1_dense_id": q_dense_id,
         "k2_insert_if_absent": q_insert_if_absent,
@@ -573,6 +595,15 @@ def oracle_sql() -> dict[str, str]:
         "s1_csv_scan": _csv_scan_sql(),
         "s2_staging_load": _with("SELECT * FROM staging", ()),
         "c1_parse_date": _with("SELECT " + ", ".join(DATE_COLUMNS) + " FROM staging", ()),
+        "c3_empty_to_null": _with("SELECT * FROM staging", ()),
+        "c4_numeric_cast": """
+SELECT l_orderkey, l_linenumber, score_text,
+       CASE WHEN ROUND(CAST(score_text AS DECIMAL(18, 4)), 0) BETWEEN -99 AND 99
+            THEN CAST(ROUND(CAST(score_text AS DECIMAL(18, 4)), 0) AS INTEGER) END AS score
+FROM (SELECT l_orderkey, l_linenumber,
+             concat(CAST(CAST(l_quantity AS INTEGER) * 4 - 100 AS VARCHAR), '.',
+                    CAST(l_linenumber AS VARCHAR)) AS score_text
+      FROM lineitem) t""",
         "c5_reject_malformed": _reject_sql(),
         "k1_dense_id": _dense_id_sql(),
         "k2_insert_if_absent": _insert_if_absent_sql(),
