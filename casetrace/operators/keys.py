@@ -70,6 +70,15 @@ def assign_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str =
     return numbered.select(id_col, *[c for c in df.columns])
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``
+    unchanged (a shuffle join).  Meant for materialised lookup tables such as
+    a K1 output: the check reads at most ``max_rows + 1`` rows."""
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
 def max_id(table: DataFrame, id_col: str) -> Column:
     """Current maximum id of ``table`` (0 when empty) as a scalar subquery."""
     return table.select(F.coalesce(F.max(id_col), F.lit(0)).cast("long")).scalar()

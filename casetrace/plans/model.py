@@ -202,15 +202,21 @@ def build_contact(staging: DataFrame, person: DataFrame, associate: DataFrame,
     return _finish("contact", existing, contact_rows(staging, person, associate))
 
 
-def build_acquaintance(keyed: DataFrame, associate: DataFrame,
-                       existing: DataFrame | None = None, screen=None) -> DataFrame:
-    """One row per (associate, person); its date is the latest met-on
-    date over *all* feed rows of the person, not only that associate's."""
+def acquaintance_rows(keyed: DataFrame, associate: DataFrame) -> DataFrame:
+    """B9 before numbering: distinct (associate, person) pairs joined to the
+    person's latest met-on date over all of its feed rows."""
     pairs = (lookup_id(keyed.select("person_id", *ASSOCIATE_KEY).distinct(),
                        associate, ASSOCIATE_KEY, "associate_id")
              .select("associate_id", "person_id"))
     latest = keyed.groupBy("person_id").agg(F.max("met_on").alias("met_on"))
-    incoming = pairs.join(latest, "person_id").select("met_on", "associate_id", "person_id")
+    return pairs.join(latest, "person_id").select("met_on", "associate_id", "person_id")
+
+
+def build_acquaintance(keyed: DataFrame, associate: DataFrame,
+                       existing: DataFrame | None = None, screen=None) -> DataFrame:
+    """One row per (associate, person); its date is the latest met-on
+    date over *all* feed rows of the person, not only that associate's."""
+    incoming = acquaintance_rows(keyed, associate)
     if screen is not None:
         incoming = screen("acquaintance", incoming)
     return _finish("acquaintance", existing, incoming)

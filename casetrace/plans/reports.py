@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from casetrace.functions.numbers import exact_percent
 from casetrace.functions.predicates import is_deceased
+from casetrace.operators.keys import assign_ids, broadcast_if_small
 from casetrace.plans.model import Model
 
 # The literals of the original reports.
@@ -190,8 +191,19 @@ def last_facility(m: Model) -> DataFrame:
 
 
 def top_contact_kind(m: Model) -> DataFrame:
-    """Each person's contact kind that sorts last (binary order)."""
-    return m.contact.groupBy("person_id").agg(F.max("kind").alias("kind"))
+    """Each person's contact kind that sorts last (binary order).
+
+    ``max`` of a string cannot use a hash aggregate (its buffer is not fixed
+    width), so on its own it sorts every contact row.  Instead the distinct
+    kinds are numbered once in binary order (K1), broadcast when the count of
+    that materialised table is small (a shuffle join otherwise), the
+    per-person maximum of the number is a hash aggregate with map-side
+    combine, and the number maps back to the kind."""
+    kinds = broadcast_if_small(
+        assign_ids(m.contact.select("kind").distinct(), ["kind"], "kind_rank"))
+    best = (m.contact.select("person_id", "kind").join(kinds, "kind")
+            .groupBy("person_id").agg(F.max("kind_rank").alias("kind_rank")))
+    return best.join(kinds, "kind_rank").select("person_id", "kind")
 
 
 def common_contact_by_facility(m: Model) -> DataFrame:
