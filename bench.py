@@ -6,7 +6,7 @@ Prints one JSON line.  Timings (seconds, wall clock):
 
 * ``load``      feed derived from the given tables, staged as parquet;
 * ``load_csv``  the feed as a headered text CSV parsed, cleaned and staged;
-* ``b1``..``b9`` each model table built (ids included) and written;
+* ``build``     all nine model tables built (ids included) and written;
 * ``checks``    all constraint checks of the written model;
 * ``r1``..``r10`` each report over the written model, median of 3 runs.
 
@@ -33,7 +33,7 @@ from casetrace.plans.reports import REPORTS  # noqa: E402
 from casetrace.session import build_session, scratch_path  # noqa: E402
 from casetrace.sources.case_feed import load_case_records, stage, write_case_feed  # noqa: E402
 from casetrace.sources.fixtures import case_records_from_tables  # noqa: E402
-from casetrace.sources.tables import read_model  # noqa: E402
+from casetrace.sources.tables import read_model, write_model  # noqa: E402
 
 
 def _timed(fn):
@@ -70,27 +70,7 @@ def main() -> None:
         scratch_path(spark, "staged-csv")))
 
     model_path = scratch_path(spark, "model")
-
-    def write(name, df):
-        df.write.mode("overwrite").parquet(f"{model_path}/{name}")
-        return spark.read.parquet(f"{model_path}/{name}")
-
-    built = {}
-    built["associate"], times["b1"] = _timed(lambda: write("associate", B.build_associate(staging)))
-    built["person"], times["b2"] = _timed(lambda: write("person", B.build_person(staging)))
-    built["facility"], times["b3"] = _timed(lambda: write("facility", B.build_facility(staging)))
-    built["treatment"], times["b4"] = _timed(lambda: write("treatment", B.build_treatment(staging)))
-    keyed, times["keyed"] = _timed(lambda: B.write_keyed(staging, built["person"]))
-    built["person_facility"], times["b5"] = _timed(
-        lambda: write("person_facility", B.build_person_facility(keyed, built["facility"])))
-    built["person_stay"], times["b6"] = _timed(
-        lambda: write("person_stay", B.build_person_stay(keyed)))
-    built["person_treatment"], times["b7"] = _timed(
-        lambda: write("person_treatment", B.build_person_treatment(keyed, built["treatment"])))
-    built["contact"], times["b8"] = _timed(
-        lambda: write("contact", B.build_contact(staging, built["person"], built["associate"])))
-    built["acquaintance"], times["b9"] = _timed(
-        lambda: write("acquaintance", B.build_acquaintance(keyed, built["associate"])))
+    _, times["build"] = _timed(lambda: write_model(B.build_model(staging), model_path))
 
     model = read_model(spark, model_path)
     _, times["checks"] = _timed(lambda: violations(model).collect())
