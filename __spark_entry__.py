@@ -98,7 +98,7 @@ def q_parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_empty_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed as text with every missing value written as '' (a
     non-CSV source), cleaned back to typed records."""
-    text = to_feed_text(_staging(spark, sf_dir), reference_header=False)
+    text = to_feed_text(_staging(spark, sf_dir), original_header=False)
     blanked = text.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in text.columns])
     return clean_case_records(blanked, on_bad="null").clean
 

@@ -49,7 +49,7 @@ SCORE_COLUMNS = [n for n, t in CASE_RECORD_COLUMNS if isinstance(t, T.IntegerTyp
 # The header names of the original CSV feed, in staging-column
 # order (they must match a feed written for the original loader).  Matching is
 # case-insensitive.
-REFERENCE_HEADER = [
+ORIGINAL_HEADER = [
     "nombre_victima",
     "apellido_victima",
     "direccion_victima",
@@ -76,7 +76,7 @@ REFERENCE_HEADER = [
 ]
 
 HEADER_ALIASES: dict[str, str] = {
-    **{ref: ours for ref, (ours, _) in zip(REFERENCE_HEADER, CASE_RECORD_COLUMNS)},
+    **{ref: ours for ref, (ours, _) in zip(ORIGINAL_HEADER, CASE_RECORD_COLUMNS)},
     **{ours: ours for ours, _ in CASE_RECORD_COLUMNS},
 }
 

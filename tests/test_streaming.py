@@ -17,8 +17,8 @@ def test_stream_appends_only_new_rows(spark, scratch):
     os.makedirs(src)
     first = records(spark, {}, {"person_given": "Eva"})
     second = records(spark, {}, {"person_given": "Ivo", "facility_name": "South"})
-    write_case_feed(first.coalesce(1), f"{scratch}/f1", reference_header=False)
-    write_case_feed(second.coalesce(1), f"{scratch}/f2", reference_header=False)
+    write_case_feed(first.coalesce(1), f"{scratch}/f1", original_header=False)
+    write_case_feed(second.coalesce(1), f"{scratch}/f2", original_header=False)
     for i, folder in enumerate(["f1", "f2"]):
         part = [f for f in os.listdir(f"{scratch}/{folder}") if f.endswith(".csv")][0]
         os.rename(f"{scratch}/{folder}/{part}", f"{src}/feed-{i}.csv")
