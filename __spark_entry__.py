@@ -33,8 +33,8 @@ from casetrace.plans.model import (Model, attach_person, build_associate,  # noq
 from casetrace.schema import (CASE_RECORD_COLUMNS, DATE_COLUMNS, FOREIGN_KEYS,  # noqa: E402
                               ID_COLUMN, ID_ORDER, INSERT_KEY, LENGTH_LIMITS, MODEL_SCHEMAS)
 from casetrace.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
-from casetrace.sources.case_feed import (clean_case_records, load_case_records,  # noqa: E402
-                                         read_case_records, stage, to_feed_text,
+from casetrace.sources.case_feed import (clean_case_records, load_and_stage,  # noqa: E402
+                                         load_case_records, read_case_records, to_feed_text,
                                          write_case_feed)
 from casetrace.sources.fixtures import case_records_from_tables  # noqa: E402
 
@@ -84,8 +84,7 @@ def q_staging_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 + C1-C4: the CSV feed parsed, cleaned and staged as parquet."""
     feed_path = scratch_path(spark, "feed")
     write_case_feed(_staging(spark, sf_dir), feed_path)
-    loaded = load_case_records(spark, feed_path, on_bad="fail")
-    return stage(loaded.clean, scratch_path(spark, "staged"))
+    return load_and_stage(spark, feed_path, scratch_path(spark, "staged"), on_bad="fail").clean
 
 
 def q_parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -565,7 +564,7 @@ def _violations_sql() -> str:
             limit = LENGTH_LIMITS.get((table, f.name))
             if limit is not None:
                 parts.append(f"SELECT '{table}', 'max_length', '{f.name}', CAST(COUNT(*) "
-                             f"FILTER (WHERE length({f.name}) > {limit}) AS BIGINT) "
+                             f"FILTER (WHERE strlen({f.name}) > {limit}) AS BIGINT) "
                              f"FROM {table}")
         pk = ID_COLUMN[table]
         parts.append(f"SELECT '{table}', 'primary_key', '{pk}', CAST(COUNT(*) AS BIGINT) "

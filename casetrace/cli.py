@@ -21,7 +21,7 @@ from casetrace.operators.quality import violations
 from casetrace.plans.model import build_model
 from casetrace.plans.reports import REPORTS
 from casetrace.session import build_session
-from casetrace.sources.case_feed import load_case_records, stage
+from casetrace.sources.case_feed import load_and_stage
 from casetrace.sources.tables import drop_model, drop_staging, read_model, write_model
 
 
@@ -63,13 +63,12 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = build_session(args.master)
     if args.cmd == "load":
-        feed = load_case_records(spark, args.feed, on_bad=args.on_bad)
-        staged = stage(feed.clean, args.staged)
+        feed = load_and_stage(spark, args.feed, args.staged, on_bad=args.on_bad)
         if args.rejected:
             feed.rejected.write.mode("overwrite").parquet(args.rejected)
-        print(f"staged {staged.count()} records")
+        print(f"staged {feed.clean.count()} records, {feed.rejected.count()} rejected values")
     elif args.cmd == "build":
-        staged = spark.read.parquet(args.staged)
+        staged = spark.read.parquet(args.staged).drop("problems", "record")
         existing = read_model(spark, args.existing) if args.existing else None
         model = build_model(staged, existing, on_null=args.on_null)
         write_model(model, args.model)

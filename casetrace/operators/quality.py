@@ -37,7 +37,7 @@ def column_checks(table: str, df: DataFrame) -> DataFrame:
         limit = LENGTH_LIMITS.get((table, field.name))
         if limit is not None:
             checks.append(("max_length", field.name,
-                           F.count_if(F.length(field.name) > F.lit(limit))))
+                           F.count_if(F.octet_length(field.name) > F.lit(limit))))
     counts = df.agg(*[c.alias(f"c{i}") for i, (_, _, c) in enumerate(checks)])
     stacked = F.explode(F.array(*[
         F.struct(F.lit(rule).alias("rule"), F.lit(col).alias("column_name"),

@@ -83,6 +83,21 @@ HEADER_ALIASES: dict[str, str] = {
 # Staging NUMBER(2) range.
 SCORE_MIN, SCORE_MAX = -99, 99
 
+# VARCHAR2 limits (bytes) of the staging text columns.
+STAGING_LENGTH_LIMITS = {
+    "person_given": 50,
+    "person_family": 50,
+    "person_address": 100,
+    "person_status": 50,
+    "associate_given": 50,
+    "associate_family": 50,
+    "contact_kind": 50,
+    "facility_name": 100,
+    "facility_address": 100,
+    "stay_address": 100,
+    "treatment": 50,
+}
+
 # ---------------------------------------------------------------------------
 # Model tables.  Every column is NOT NULL except person.died_on.
 # ---------------------------------------------------------------------------
@@ -215,7 +230,7 @@ FOREIGN_KEYS = [
     ("acquaintance", "person_id", "person", "person_id"),
 ]
 
-# VARCHAR2 length limits of the model DDL.
+# VARCHAR2 limits (bytes) of the model DDL.
 LENGTH_LIMITS = {
     ("associate", "given"): 50,
     ("associate", "family"): 50,
