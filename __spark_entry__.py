@@ -136,6 +136,16 @@ def q_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_person(st, existing=first)
 
 
+def q_contact_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 across the model: contacts after a first load (records suspected
+    before SPLIT_DATE) and a second load of the whole feed.  New persons and
+    associates continue their ids, contacts already present are skipped, new
+    contacts continue after the first load's maximum."""
+    st = _staging(spark, sf_dir)
+    first = build_model(st.where(F.col("suspected_on") < F.lit(SPLIT_DATE).cast("date")))
+    return build_model(st, existing=first).contact
+
+
 def q_lookup_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: the feed keyed by person id (person variants multiply rows)."""
     m = _model(spark, sf_dir)
@@ -181,6 +191,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "c5_reject_malformed": q_reject_malformed,
         "k1_dense_id": q_dense_id,
         "k2_insert_if_absent": q_insert_if_absent,
+        "k2_contact_two_loads": q_contact_two_loads,
         "k3_lookup_id": q_lookup_id,
         "k4_k7_violations": q_violations,
         "b1_associate": _table("associate"),
@@ -543,6 +554,67 @@ FROM second_load"""
     return _with(body, ())
 
 
+def _contact_two_loads_sql() -> str:
+    person_cols = """person_given AS given, person_family AS family, person_address AS address,
+               person_status AS status, suspected_on, confirmed_on, died_on"""
+    person_where = """person_given IS NOT NULL AND person_family IS NOT NULL
+          AND person_address IS NOT NULL AND person_status IS NOT NULL
+          AND suspected_on IS NOT NULL AND confirmed_on IS NOT NULL"""
+    person_order = ("given, family, address, status, suspected_on, confirmed_on, "
+                    "died_on NULLS FIRST")
+    contact_order = "person_id, associate_id, kind, contact_from, contact_to"
+
+    def contacts(src: str, persons: str, associates: str) -> str:
+        return f"""SELECT r.contact_kind AS kind, r.contact_from, r.contact_to,
+                          v.person_id, a.associate_id
+                   FROM {src} r
+                   JOIN {persons} v ON v.given = r.person_given AND v.family = r.person_family
+                   JOIN {associates} a ON a.given = r.associate_given
+                                      AND a.family = r.associate_family
+                   WHERE r.contact_kind IS NOT NULL AND r.contact_from IS NOT NULL
+                     AND r.contact_to IS NOT NULL
+                   GROUP BY 1, 2, 3, 4, 5"""
+    body = f"""
+, load1 AS (SELECT * FROM staging WHERE suspected_on < DATE '{SPLIT_DATE}')
+, person1 AS (
+  SELECT CAST(row_number() OVER (ORDER BY {person_order}) AS BIGINT) AS person_id, *
+  FROM (SELECT DISTINCT {person_cols} FROM load1 WHERE {person_where}) r)
+, associate1 AS (
+  SELECT CAST(row_number() OVER (ORDER BY given, family) AS BIGINT) AS associate_id, *
+  FROM (SELECT DISTINCT associate_given AS given, associate_family AS family FROM load1
+        WHERE associate_given IS NOT NULL AND associate_family IS NOT NULL) r)
+, contact1 AS (
+  SELECT CAST(row_number() OVER (ORDER BY {contact_order}) AS BIGINT) AS id, *
+  FROM ({contacts("load1", "person1", "associate1")}) x)
+, person2 AS (
+  SELECT * FROM person1
+  UNION ALL
+  SELECT (SELECT COALESCE(MAX(person_id), 0) FROM person1)
+         + CAST(row_number() OVER (ORDER BY {person_order}) AS BIGINT), *
+  FROM (SELECT DISTINCT {person_cols} FROM staging WHERE {person_where}) r
+  WHERE NOT EXISTS (SELECT 1 FROM person1 p WHERE p.given = r.given AND p.family = r.family
+                    AND p.address = r.address))
+, associate2 AS (
+  SELECT * FROM associate1
+  UNION ALL
+  SELECT (SELECT COALESCE(MAX(associate_id), 0) FROM associate1)
+         + CAST(row_number() OVER (ORDER BY given, family) AS BIGINT), *
+  FROM (SELECT DISTINCT associate_given AS given, associate_family AS family FROM staging
+        WHERE associate_given IS NOT NULL AND associate_family IS NOT NULL) r
+  WHERE NOT EXISTS (SELECT 1 FROM associate1 a WHERE a.given = r.given
+                    AND a.family = r.family))
+SELECT id, kind, contact_from, contact_to, associate_id, person_id FROM contact1
+UNION ALL
+SELECT (SELECT COALESCE(MAX(id), 0) FROM contact1)
+       + CAST(row_number() OVER (ORDER BY {contact_order}) AS BIGINT) AS id,
+       kind, contact_from, contact_to, associate_id, person_id
+FROM ({contacts("staging", "person2", "associate2")}) c
+WHERE NOT EXISTS (SELECT 1 FROM contact1 o WHERE o.kind = c.kind
+                  AND o.contact_from = c.contact_from AND o.contact_to = c.contact_to
+                  AND o.person_id = c.person_id AND o.associate_id = c.associate_id)"""
+    return _with(body, ())
+
+
 def _lookup_sql() -> str:
     keyed = ["facility_name", "facility_address", "stay_address", "stay_from", "stay_to",
              "treatment", "person_score", "treated_from", "treated_to",
@@ -606,6 +678,7 @@ FROM (SELECT l_orderkey, l_linenumber,
         "c5_reject_malformed": _reject_sql(),
         "k1_dense_id": _dense_id_sql(),
         "k2_insert_if_absent": _insert_if_absent_sql(),
+        "k2_contact_two_loads": _contact_two_loads_sql(),
         "k3_lookup_id": _lookup_sql(),
         "k4_k7_violations": _violations_sql(),
         "w10_last_facility": _with("""
