@@ -19,7 +19,7 @@ import sys
 
 from casetrace.operators.quality import violations
 from casetrace.plans.model import build_model
-from casetrace.plans.reports import REPORTS
+from casetrace.plans.reports import REPORTS, original_report
 from casetrace.session import build_session
 from casetrace.sources.case_feed import load_and_stage
 from casetrace.sources.tables import drop_model, drop_staging, read_model, write_model
@@ -54,6 +54,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("name", choices=sorted(REPORTS))
     p.add_argument("--model", required=True)
     p.add_argument("--param", action="append", default=[])
+    p.add_argument("--original", action="store_true",
+                   help="use the original program's literals for the report")
     p.add_argument("--out")
     p.add_argument("--show", type=int, default=50)
     p = sub.add_parser("drop")
@@ -82,7 +84,11 @@ def main(argv: list[str] | None = None) -> int:
         unknown = set(params) - set(names)
         if unknown:
             ap.error(f"unknown parameters for {args.name}: {sorted(unknown)}")
-        df = fn(read_model(spark, args.model), **{k: _coerce(v) for k, v in params.items()})
+        model = read_model(spark, args.model)
+        if args.original:
+            df = original_report(model, args.name)
+        else:
+            df = fn(model, **{k: _coerce(v) for k, v in params.items()})
         if args.out:
             df.write.mode("overwrite").parquet(args.out)
         else:

@@ -232,6 +232,27 @@ def with_row_count(df: DataFrame) -> tuple[DataFrame, int]:
     return cached, cached.count()
 
 
+def original_report(m: Model, name: str) -> DataFrame:
+    """Report ``name`` ("r1" ... "r10", "r7a", "r7b") with the original
+    program's own literals and thresholds."""
+    p = ORIGINAL_PARAMETERS
+    calls = {
+        "r1": lambda: deaths_by_facility(m, p["deceased_status"]),
+        "r2": lambda: persons_by_treatment_score(m, p["score_treatment"], 5),
+        "r3": lambda: deceased_with_many_associates(m, p["deceased_status"], 3),
+        "r4": lambda: contacts_by_kind(m, p["suspended_status"], p["contact_kind"], 2),
+        "r5": lambda: top_persons_by_treatment(m, p["top_treatment"], 5),
+        "r6": lambda: persons_by_location_and_treatment(m, p["stay_address"],
+                                                        p["stay_treatment"]),
+        "r7a": lambda: persons_with_n_treatments(m, 2),
+        "r7b": lambda: persons_with_n_treatments_few_associates(m, 2, 2),
+        "r8": lambda: extremes_by_month(m, 10),
+        "r9": lambda: facility_share(m),
+        "r10": lambda: common_contact_by_facility(m),
+    }
+    return calls[name]()
+
+
 REPORTS = {
     "r1": deaths_by_facility,
     "r2": persons_by_treatment_score,

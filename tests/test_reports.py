@@ -86,3 +86,19 @@ def test_r2_r3_r4_r6(spark):
     assert [r.given for r in R.contacts_by_kind(m, "dead", "kiss", 2).collect()] == ["A"]
     assert [r.given for r in R.persons_by_location_and_treatment(m, "Here", "Oxygen")
             .collect()] == ["A"]
+
+
+def test_original_literals(spark):
+    feed = records(
+        spark,
+        {"person_given": "A", "person_status": "Muerte", "contact_kind": "Beso",
+         "treatment": "Oxigeno", "stay_address": "1987 Delphine Well"},
+        {"person_given": "B", "person_status": "Suspendida", "contact_kind": "Beso",
+         "treatment": "Manejo de la presion arterial", "stay_address": "1987 Delphine Well"})
+    m = build_model(feed)
+    r1 = [(r.name, r.deaths) for r in R.original_report(m, "r1").collect()]
+    assert r1 == [("North", 1)]
+    assert [r.given for r in R.original_report(m, "r5").collect()] == ["A"]
+    assert [r.given for r in R.original_report(m, "r6").collect()] == ["B"]
+    for name in R.REPORTS:
+        R.original_report(m, name).collect()
