@@ -25,13 +25,12 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from casetrace.functions.dates import parse_date  # noqa: E402
 from casetrace.functions.numbers import parse_score  # noqa: E402
-from casetrace.operators.keys import append_new, assign_ids  # noqa: E402
+from casetrace.operators.keys import assign_ids  # noqa: E402
 from casetrace.operators.quality import violations  # noqa: E402
 from casetrace.plans import reports as R  # noqa: E402
-from casetrace.plans.model import (Model, attach_person, build_associate,  # noqa: E402
-                                   build_model, build_person)
+from casetrace.plans.model import Model, attach_person, build_model, build_person  # noqa: E402
 from casetrace.schema import (CASE_RECORD_COLUMNS, DATE_COLUMNS, FOREIGN_KEYS,  # noqa: E402
-                              ID_COLUMN, ID_ORDER, INSERT_KEY, LENGTH_LIMITS, MODEL_SCHEMAS)
+                              ID_COLUMN, INSERT_KEY, LENGTH_LIMITS, MODEL_SCHEMAS)
 from casetrace.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
 from casetrace.sources.case_feed import (clean_case_records, load_and_stage,  # noqa: E402
                                          load_case_records, read_case_records, to_feed_text,

@@ -1,8 +1,6 @@
 import datetime as dt
 from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import functions as F
-
 from casetrace.functions import exact_percent, is_deceased, parse_date, parse_score
 
 

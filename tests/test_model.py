@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from casetrace.operators.quality import ModelError, assert_valid, violations
 from casetrace.plans.model import build_model

@@ -1,7 +1,5 @@
 """A name held by very many persons: the contact fan-out join is split by AQE."""
 
-from pyspark.sql import functions as F
-
 from casetrace.plans.model import build_associate, build_person, contact_rows
 
 from conftest import d, records

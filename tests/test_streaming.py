@@ -1,5 +1,4 @@
 import os
-import time
 
 from casetrace.plans.model import build_model
 from casetrace.sources.case_feed import write_case_feed
