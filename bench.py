@@ -9,9 +9,10 @@ Prints one JSON line.  Timings (seconds, wall clock):
   one pass (clean rows and rejected values land in one parquet table);
 * ``build``     all nine model tables built (ids included) and written;
 * ``checks``    all constraint checks of the written model;
-* ``r1``..``r10`` each report over the written model, median of 3 runs.
+* ``r1``..``r10`` each report over the written model.
 
-``value`` is the sum of the medians of everything above.
+Every figure is the median of ``BENCH_REPEATS`` (default 3) runs; ``value`` is
+the sum of the medians.
 """
 
 from __future__ import annotations
@@ -37,6 +38,11 @@ from casetrace.sources.fixtures import case_records_from_tables  # noqa: E402
 from casetrace.sources.tables import read_model, write_model  # noqa: E402
 
 
+def _build(staging, path):
+    write_model(B.build_model(staging), path)
+    return path
+
+
 def _timed(fn):
     t = time.perf_counter()
     out = fn()
@@ -60,24 +66,26 @@ def main() -> None:
     warm.join(spark.read.parquet(f"{sf_dir}/region.parquet"),
               warm.n_regionkey == F.col("r_regionkey")).groupBy("r_name").count().collect()
 
-    staged_path = scratch_path(spark, "staged")
-    staging, times["load"] = _timed(
-        lambda: stage(case_records_from_tables(spark, sf_dir), staged_path))
+    def median_of(fn):
+        runs = [_timed(fn) for _ in range(repeats)]
+        print([round(t, 2) for _, t in runs], file=sys.stderr, flush=True)
+        return runs[-1][0], statistics.median(t for _, t in runs)
+
+    staging, times["load"] = median_of(lambda: stage(
+        case_records_from_tables(spark, sf_dir), scratch_path(spark, "staged")))
 
     feed_path = scratch_path(spark, "feed")
     write_case_feed(staging, feed_path)
-    _, times["load_csv"] = _timed(lambda: load_and_stage(
+    _, times["load_csv"] = median_of(lambda: load_and_stage(
         spark, feed_path, scratch_path(spark, "staged-csv"), on_bad="null"))
 
-    model_path = scratch_path(spark, "model")
-    _, times["build"] = _timed(lambda: write_model(B.build_model(staging), model_path))
+    model_path, times["build"] = median_of(lambda: _build(staging, scratch_path(spark, "model")))
 
     model = read_model(spark, model_path)
-    _, times["checks"] = _timed(lambda: violations(model).collect())
+    _, times["checks"] = median_of(lambda: violations(model).collect())
 
     for name, report in REPORTS.items():
-        runs = [_timed(lambda: report(model).collect())[1] for _ in range(repeats)]
-        times[name] = statistics.median(runs)
+        _, times[name] = median_of(lambda: report(model).collect())
 
     sf = sf_dir.rsplit("sf", 1)[-1]
     out = {
@@ -89,7 +97,7 @@ def main() -> None:
         "spark": spark.version,
         "master": f"local[{cpus}]",
         "shuffle_partitions": partitions,
-        "report_repeats": repeats,
+        "repeats": repeats,
     }
     print(json.dumps(out))
     spark.stop()
