@@ -50,8 +50,12 @@ def assign_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str =
     # Without an explicit count the range exchange uses the session's shuffle
     # partitions and AQE merges adjacent small ranges (order is kept), so a
     # 25-row table does not become thousands of empty partitions.
-    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
-              else df.repartitionByRange(*order)).sortWithinPartitions(*order)
+    # Fresh column identities before freezing: a checkpoint keeps the
+    # attribute ids of its input, and a frozen copy that shared them could not
+    # be joined back to the frame it was derived from.
+    fresh = df.select(*[F.col(c).alias(c) for c in df.columns])
+    ranged = (fresh.repartitionByRange(num_partitions, *order) if num_partitions
+              else fresh.repartitionByRange(*order)).sortWithinPartitions(*order)
     frozen = ranged.checkpoint(eager=True)
 
     tagged = frozen.select(

@@ -65,3 +65,12 @@ def test_lookup_id(spark):
     df = spark.createDataFrame([("a", "x", 10), ("b", "z", 20)], "gg string, ff string, v int")
     out = lookup_id(df, dim, {"gg": "g", "ff": "f"}, "pid")
     assert [(r.pid, r.v) for r in out.collect()] == [(1, 10)]
+
+
+def test_numbered_copy_joins_back_to_its_source(spark):
+    src = spark.range(0, 50).select((F.col("id") % 7).cast("string").alias("k"),
+                                    F.col("id").alias("v"))
+    kinds = assign_ids(src.select("k").distinct(), ["k"], "rank")
+    best = src.join(kinds, "k").groupBy(F.col("v") % 2).agg(F.max("rank").alias("rank"))
+    back = best.join(kinds, "rank").select("rank", "k")
+    assert sorted(r.k for r in back.collect()) == ["6", "6"]
