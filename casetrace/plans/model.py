@@ -30,6 +30,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casetrace.operators.joins import fanout_join
 from casetrace.operators.keys import append_new, lookup_id
 from casetrace.operators.quality import assert_valid
 from casetrace.schema import ID_COLUMN, ID_ORDER, INSERT_KEY, MODEL_SCHEMAS
@@ -190,7 +191,8 @@ def contact_rows(staging: DataFrame, person: DataFrame, associate: DataFrame) ->
     by_associate = (lookup_id(seen, associate, ASSOCIATE_KEY, "associate_id")
                     .drop(*ASSOCIATE_KEY)
                     .distinct())
-    return (lookup_id(by_associate, person, PERSON_NAME, "person_id")
+    persons = person.select("person_id", *[F.col(d).alias(s) for s, d in PERSON_NAME.items()])
+    return (fanout_join(by_associate, persons, list(PERSON_NAME))
             .select("kind", "contact_from", "contact_to", "associate_id", "person_id"))
 
 
@@ -199,7 +201,8 @@ def build_contact(staging: DataFrame, person: DataFrame, associate: DataFrame,
     """A contact is attributed to every person sharing the recorded
     (given, family) - not only the one at the recorded address.  A name held
     by very many persons makes both join sides hot; AQE's skew-join split
-    spreads it over tasks (tests/test_skew.py)."""
+    spreads it over tasks, or ``fanout_join`` salts it when the session has
+    that switched off (tests/test_skew.py)."""
     return _finish("contact", existing, contact_rows(staging, person, associate))
 
 

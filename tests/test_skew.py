@@ -38,3 +38,36 @@ def test_hot_name_is_split_and_result_is_whole(spark):
     # seen together: i % 7 and i % 5 give 35 pairs); every cold person its own
     assert n == 300 * 35 + 60
     assert "skew=true" in plan
+
+
+def test_salted_fanout_matches_plain_join(spark):
+    from casetrace.operators.joins import fanout_join
+    left = spark.createDataFrame(
+        [("hot", f"c{i}") for i in range(40)] + [("cold", "c0"), ("lone", "x")],
+        "name string, contact string")
+    right = spark.createDataFrame(
+        [("hot", i) for i in range(25)] + [("cold", 100), ("cold", 101), (None, 7)],
+        "name string, person int")
+    plain = sorted(map(tuple, fanout_join(left, right, ["name"], force_salt=False)
+                       .select("name", "contact", "person").collect()))
+    salted_df = fanout_join(left, right, ["name"], buckets=4, hot_pairs=100, force_salt=True)
+    salted = sorted(map(tuple, salted_df.select("name", "contact", "person").collect()))
+    assert salted == plain
+    assert len(plain) == 40 * 25 + 2
+
+
+def test_contact_rows_salted_when_aqe_skew_split_is_off(spark):
+    hot = [{"person_given": "Hot", "person_family": "Name", "person_address": f"A{i}",
+            "contact_kind": f"k{i % 7}", "associate_given": f"S{i % 5}"} for i in range(60)]
+    feed = records(spark, *hot, *[{"person_given": f"P{i}"} for i in range(10)])
+    person, associate = build_person(feed), build_associate(feed)
+    want = sorted(map(repr, contact_rows(feed, person, associate).collect()))
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        got_df = contact_rows(feed, person, associate)
+        got = sorted(map(repr, got_df.collect()))
+        plan = got_df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    assert got == want
+    assert "xxhash64" in plan
