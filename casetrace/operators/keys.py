@@ -24,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casetrace.operators.joins import fanout_join
 from casetrace.session import ensure_checkpoint_dir
 
 _PID = "__ct_pid"
@@ -74,15 +75,6 @@ def assign_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str =
     return numbered.select(id_col, *[c for c in df.columns])
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``
-    unchanged (a shuffle join).  Meant for materialised lookup tables such as
-    a K1 output: the check reads at most ``max_rows + 1`` rows."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def max_id(table: DataFrame, id_col: str) -> Column:
     """Current maximum id of ``table`` (0 when empty) as a scalar subquery."""
     return table.select(F.coalesce(F.max(id_col), F.lit(0)).cast("long")).scalar()
@@ -116,4 +108,8 @@ def lookup_id(df: DataFrame, dim: DataFrame, on: dict[str, str], id_col: str,
     columns plus ``id_col``.
     """
     right = dim.select(F.col(id_col), *[F.col(d).alias(s) for s, d in on.items()])
+    if how == "inner":
+        # a hot key (one person or supplier holding a large share of the
+        # rows) is split by AQE, or salted when the session cannot split it
+        return fanout_join(df, right, list(on))
     return df.join(right, list(on), how)

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from casetrace.functions.numbers import exact_percent
 from casetrace.functions.predicates import is_deceased
-from casetrace.operators.keys import assign_ids, broadcast_if_small
+from casetrace.operators.joins import broadcast_if_small
+from casetrace.operators.keys import assign_ids
 from casetrace.plans.model import Model
 
 # The literals of the original reports.
