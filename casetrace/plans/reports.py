@@ -67,7 +67,8 @@ def persons_by_treatment_score(m: Model, description: str = FIXTURE_PARAMETERS["
     """R2: distinct (given, family) of persons whose own score for the
     treatment is above ``min_score``."""
     treated = (m.person_treatment.where(F.col("person_score") > min_score)
-               .join(_treatment_ids(m, description), "treatment_id", "left_semi"))
+               .join(_treatment_ids(m, description), "treatment_id", "left_semi")
+               .select("person_id").distinct())
     return (m.person.join(treated, "person_id", "left_semi")
             .select("given", "family").distinct()
             .orderBy("given", "family"))
@@ -117,10 +118,12 @@ def persons_by_location_and_treatment(
         description: str = FIXTURE_PARAMETERS["stay_treatment"]) -> DataFrame:
     """Persons who stayed at ``address`` and received ``description``;
     distinct (given, family, died_on).  Two semi joins instead of the
-    stay x treatment product per person."""
-    stayed = m.person_stay.where(F.col("address") == address).select("person_id")
+    stay x treatment product per person; their right sides are distinct
+    person ids (map-side combine), so a person with very many rows does not
+    make one task hold them all."""
+    stayed = m.person_stay.where(F.col("address") == address).select("person_id").distinct()
     treated = (m.person_treatment.join(_treatment_ids(m, description), "treatment_id", "left_semi")
-               .select("person_id"))
+               .select("person_id").distinct())
     return (m.person.join(stayed, "person_id", "left_semi")
             .join(treated, "person_id", "left_semi")
             .select("given", "family", "died_on").distinct()
