@@ -36,10 +36,13 @@ from casetrace.sources.case_feed import (clean_case_records, load_and_stage,  #
                                          load_case_records, read_case_records, to_feed_text,
                                          write_case_feed)
 from casetrace.sources.fixtures import case_records_from_tables  # noqa: E402
+from casetrace.streaming.ingest import read_appended_model, start_ingest  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 P = R.FIXTURE_PARAMETERS
-SPLIT_DATE = "1995-01-01"   # first of two loads in the insert-if-absent check
+# First of two loads in the insert-if-absent checks: the test feed's orders run
+# from 1995-01-01 to 2001-08-01, so this splits it roughly in half.
+SPLIT_DATE = "1998-01-01"
 
 # ---------------------------------------------------------------------------
 # Spark side
@@ -145,6 +148,22 @@ def q_contact_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_model(st, existing=first).contact
 
 
+def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming ingest: the records suspected before SPLIT_DATE arrive as one
+    folder of feed files, the whole feed as a second; each is loaded by an
+    available-now stream into the same model folder.  Persons must come out as
+    after two batch loads (insert-if-absent, ids continuing)."""
+    st = _staging(spark, sf_dir)
+    root = scratch_path(spark, "stream")
+    write_case_feed(st.where(F.col("suspected_on") < F.lit(SPLIT_DATE).cast("date")),
+                    f"{root}/in1", original_header=False)
+    write_case_feed(st, f"{root}/in2", original_header=False)
+    for i in (1, 2):
+        start_ingest(spark, f"{root}/in{i}", f"{root}/model",
+                     checkpoint_location=f"{root}/ckpt{i}").awaitTermination()
+    return read_appended_model(spark, f"{root}/model").person
+
+
 def q_lookup_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: the feed keyed by person id (person variants multiply rows)."""
     m = _model(spark, sf_dir)
@@ -191,6 +210,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "k1_dense_id": q_dense_id,
         "k2_insert_if_absent": q_insert_if_absent,
         "k2_contact_two_loads": q_contact_two_loads,
+        "st_stream_ingest": q_stream_ingest,
         "k3_lookup_id": q_lookup_id,
         "k4_k7_violations": q_violations,
         "b1_associate": _table("associate"),
@@ -678,6 +698,7 @@ FROM (SELECT l_orderkey, l_linenumber,
         "k1_dense_id": _dense_id_sql(),
         "k2_insert_if_absent": _insert_if_absent_sql(),
         "k2_contact_two_loads": _contact_two_loads_sql(),
+        "st_stream_ingest": _insert_if_absent_sql(),
         "k3_lookup_id": _lookup_sql(),
         "k4_k7_violations": _violations_sql(),
         "w10_last_facility": _with("""
