@@ -36,3 +36,18 @@ def test_stream_appends_only_new_rows(spark, scratch):
             assert _without_ids(got.tables()[name], id_col) == _without_ids(df, id_col), name
     assert {r.batch for r in spark.read.parquet(f"{scratch}/model/person")
             .select("batch").distinct().collect()} == {0, 1}
+
+
+def test_empty_batch_then_data(spark, scratch):
+    from casetrace.streaming import FEED_TEXT_SCHEMA, append_batch
+    from casetrace.sources.case_feed import to_feed_text
+    empty = spark.createDataFrame([], FEED_TEXT_SCHEMA)
+    assert append_batch(empty, f"{scratch}/model", 0) == {}
+    assert read_appended_model(spark, f"{scratch}/model") is None
+    text = to_feed_text(records(spark, {}, {"person_given": "Eva"}), original_header=False)
+    counts = append_batch(text, f"{scratch}/model", 1)
+    assert counts["person"] == 2
+    again = append_batch(text, f"{scratch}/model", 2)     # a replayed batch adds nothing
+    assert all(n == 0 for n in again.values())
+    got = read_appended_model(spark, f"{scratch}/model")
+    assert sorted(r.person_id for r in got.person.collect()) == [1, 2]
