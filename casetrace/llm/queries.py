@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrace.llm import packing, sharding, token_files
-from casetrace.llm.common import frozen, table
+from casetrace.llm import classifier, divergence, packing, sharding, token_files
+from casetrace.llm.common import frozen, held_out, table
 from casetrace.session import scratch_path
 
 SHARDS = 24
@@ -31,6 +31,25 @@ def op1_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the Jensen-Shannon verdict of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return divergence.judge(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", F.round("class_distance", 6).alias("class_distance"),
+        F.round("word_distance", 6).alias("word_distance"))
+
+
+def op3_fourier_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality of all documents, learnt from labels that are not held out."""
+    features = frozen(classifier.with_features(
+        table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+        .withColumn("held_out", held_out(F.col("doc_id"), 5, 0)))
+    model = classifier.fit(classifier.with_label(
+        features.where(~F.col("held_out")), table(spark, sf_dir, "labels"), "quality"))
+    return classifier.classify(features, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op5_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents cut into power-of-two pieces of at most 1024 tokens."""
     pieces = packing.cut_documents(table(spark, sf_dir, "documents"),
@@ -59,7 +78,8 @@ def op8_perfect_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sampled_splitters, op5_power_of_two_packing,
+    return {f.__name__: f for f in (op1_sampled_splitters, op2_divergence_rules,
+                                    op3_fourier_classifier, op5_power_of_two_packing,
                                     op8_perfect_hash_index)}
 
 
