@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrace.llm import classifier, divergence, packing, sharding, token_files
+from casetrace.llm import classifier, divergence, near_dedup, packing, sharding, token_files
 from casetrace.llm.common import frozen, held_out, table
 from casetrace.session import scratch_path
 
@@ -50,6 +50,11 @@ def op3_fourier_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(features, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op4_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents cut into power-of-two pieces of at most 1024 tokens."""
     pieces = packing.cut_documents(table(spark, sf_dir, "documents"),
@@ -79,7 +84,8 @@ def op8_perfect_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_sampled_splitters, op2_divergence_rules,
-                                    op3_fourier_classifier, op5_power_of_two_packing,
+                                    op3_fourier_classifier, op4_super_minhash,
+                                    op5_power_of_two_packing,
                                     op8_perfect_hash_index)}
 
 
