@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrace.llm import classifier, divergence, near_dedup, packing, sharding, token_files
+from casetrace.llm import classifier, decontamination, divergence, near_dedup, packing, sharding, token_files
 from casetrace.llm.common import frozen, held_out, table
 from casetrace.session import scratch_path
 
@@ -64,6 +64,12 @@ def op5_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.bucket_sequences(digests)
 
 
+def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents checked against every benchmark item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.flag(docs, table(spark, sf_dir, "benchmark")).drop("text")
+
+
 def op8_perfect_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as id files, then every one fetched by its key
     through the index."""
@@ -85,7 +91,7 @@ def op8_perfect_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_sampled_splitters, op2_divergence_rules,
                                     op3_fourier_classifier, op4_super_minhash,
-                                    op5_power_of_two_packing,
+                                    op5_power_of_two_packing, op6_spaced_seeds,
                                     op8_perfect_hash_index)}
 
 
