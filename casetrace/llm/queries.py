@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrace.llm import classifier, decontamination, divergence, near_dedup, packing, sharding, token_files
+from casetrace.llm import classifier, decontamination, divergence, near_dedup, packing, preference
+from casetrace.llm import sharding, token_files, url_rules
 from casetrace.llm.common import frozen, held_out, table
 from casetrace.session import scratch_path
 
@@ -88,12 +89,109 @@ def op8_perfect_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op9_rarest_token_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judge(pages).drop("url")
+
+
+def op10_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against itself with its neighbour's last reply."""
+    turns = table(spark, sf_dir, "conversations")
+    return preference.format_pairs(turns, preference.swap_last_reply(turns), "conv_id")
+
+
+OP9_SQL = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0
+                       THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), parts AS (
+  SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, rest FROM cut
+), named AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+  FROM parts
+), rules(name, verdict) AS (
+  VALUES ('org/', 'allow'), ('example.org/es/', 'block'), ('example.org/en/1', 'block'),
+         ('com/fr/', 'allow'), ('com/de/', 'block')
+), split AS (
+  SELECT name, verdict, split_part(name, '/', 1) AS rhost,
+         substr(name, strpos(name, '/')) AS rpath
+  FROM rules
+), fits AS (
+  SELECT page_id, host, path, name, verdict,
+         row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(name) DESC) AS rn
+  FROM named JOIN split
+    ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+), best AS (SELECT DISTINCT host, path, name, verdict FROM fits WHERE rn = 1),
+general(name, n, ex) AS (
+  VALUES ('login', 28, '\n/([^\n]*/)?login(/|$)'), ('cheap-pills', 21, '(^|\.)cheap-pills\.'),
+         ('casino', 20, '(^|[.-])casino[.-]'), ('spam-farm', 19, '(^|\.)spam-farm\.'),
+         ('ads', 17, '(^|[.-])ads[.-]')
+), hosts AS (SELECT DISTINCT host, path FROM named),
+worst AS (
+  SELECT host, path, arg_min(name, (-n, name)) AS name
+  FROM hosts JOIN general ON regexp_matches(host || chr(10) || path, ex)
+  GROUP BY host, path
+)
+SELECT n.page_id, n.host, n.path, b.name AS rule, coalesce(b.name, w.name) AS matched,
+       CASE WHEN b.name IS NOT NULL THEN b.verdict WHEN w.name IS NOT NULL THEN 'block'
+            ELSE 'allow' END AS verdict
+FROM named n LEFT JOIN best b ON n.host = b.host AND n.path = b.path
+LEFT JOIN worst w ON n.host = w.host AND n.path = w.path
+"""
+
+OP10_SQL = r"""
+WITH known AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+), last AS (
+  SELECT conv_id, max(turn) AS last_turn FROM known WHERE role = 'assistant' GROUP BY conv_id
+), reply AS (
+  SELECT k.conv_id, min(k.text) AS text FROM known k JOIN last l
+    ON k.conv_id = l.conv_id AND k.turn = l.last_turn AND k.role = 'assistant'
+  GROUP BY k.conv_id
+), rejected AS (
+  SELECT k.* FROM known k LEFT JOIN last l ON k.conv_id = l.conv_id
+  WHERE l.last_turn IS NULL OR k.turn < l.last_turn
+  UNION
+  SELECT l.conv_id, l.last_turn, 'assistant', r.text
+  FROM last l JOIN reply r ON r.conv_id = xor(l.conv_id, 1)
+), c AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY role, text) AS nth FROM known
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY role, text) AS nth FROM rejected
+), sides AS (
+  SELECT conv_id, turn, nth, role, text, 'chosen' AS part FROM c
+  UNION ALL SELECT conv_id, turn, nth, role, text, 'rejected' FROM r
+), agree AS (
+  SELECT conv_id, turn, nth FROM sides GROUP BY conv_id, turn, nth
+  HAVING count(*) = 2 AND min(role) = max(role) AND min(text) = max(text)
+), split AS (
+  SELECT s.conv_id, min(CASE WHEN a.turn IS NULL THEN s.turn END) AS at_turn
+  FROM sides s LEFT JOIN agree a USING (conv_id, turn, nth) GROUP BY s.conv_id
+), marked AS (
+  SELECT DISTINCT s.conv_id, s.turn, s.nth, s.role, s.text,
+         CASE WHEN p.at_turn IS NULL OR s.turn < p.at_turn THEN 'prompt' ELSE s.part END AS part
+  FROM sides s JOIN split p USING (conv_id)
+)
+SELECT conv_id AS pair_id, part, turn, CAST(nth AS INTEGER) AS nth, role,
+       '<|' || role || '|>' || chr(10) || text || chr(10) AS rendered,
+       part <> 'prompt' AND role = 'assistant' AS trained,
+       CAST(count(*) FILTER (WHERE part = 'prompt') OVER (PARTITION BY conv_id) AS BIGINT)
+         AS prompt_turns
+FROM marked
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_sampled_splitters, op2_divergence_rules,
                                     op3_fourier_classifier, op4_super_minhash,
                                     op5_power_of_two_packing, op6_spaced_seeds,
-                                    op8_perfect_hash_index)}
+                                    op8_perfect_hash_index, op9_rarest_token_rules,
+                                    op10_preference_pairs)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_rarest_token_rules": OP9_SQL, "op10_preference_pairs": OP10_SQL}
