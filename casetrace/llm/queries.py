@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrace.llm import classifier, decontamination, divergence, near_dedup, packing, preference
+from casetrace.llm import classifier, decontamination, divergence, near_dedup, packing, ppm, preference
 from casetrace.llm import sharding, token_files, url_rules
 from casetrace.llm.common import frozen, held_out, table
 from casetrace.session import scratch_path
@@ -71,6 +71,13 @@ def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.flag(docs, table(spark, sf_dir, "benchmark")).drop("text")
 
 
+def op7_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of all documents, learnt from those not held out."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", held_out(F.col("doc_id"), 7, 2).alias("held_out"), "text")
+    return ppm.train(docs.where(~F.col("held_out"))).score(docs)
+
+
 def op8_perfect_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as id files, then every one fetched by its key
     through the index."""
@@ -189,7 +196,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_sampled_splitters, op2_divergence_rules,
                                     op3_fourier_classifier, op4_super_minhash,
                                     op5_power_of_two_packing, op6_spaced_seeds,
-                                    op8_perfect_hash_index, op9_rarest_token_rules,
+                                    op7_partial_matching, op8_perfect_hash_index, op9_rarest_token_rules,
                                     op10_preference_pairs)}
 
 
