@@ -146,4 +146,4 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the contaminated ones."""
     keyed = docs.withColumn("__k", F.xxhash64("doc_id", "text"))
     return keyed.join(matches(keyed, items, "__k").select("__k").distinct(), "__k",
-                      "left_anti").drop("__k")
+                      "left_anti").select(*docs.columns)

@@ -100,18 +100,25 @@ def _divergence(counts: list[str], reference: dict[str, list[float]]) -> Column:
     return F.sqrt(F.greatest(terms / 2, F.lit(0.0)))
 
 
-def judge(docs: DataFrame, limits: Limits | None = None) -> DataFrame:
-    """``docs`` with the base counts, ``base_failed``, both distances and
-    ``kept``.  The histograms are computed once and kept without the text, so
-    pass narrow columns, and join on the id to filter texts."""
-    limits = limits or Limits()
+def references(stats: DataFrame, columns: list[str]) -> dict[str, dict[str, int]]:
+    """Summed histograms per language; at most one row per listed language
+    reaches the driver."""
+    sums = stats.groupBy("__lang").agg(*[F.sum(c).alias(c) for c in columns])
+    return {r["__lang"]: r.asDict() for r in sums.collect()}
+
+
+def _bin_columns(limits: Limits) -> list[str]:
+    return [f"w_{k}" for k in range(_bins(limits.words))] + ["w_rest"]
+
+
+def _plain(docs: DataFrame, limits: Limits) -> DataFrame:
     require(docs, ["doc_id", "text", "lang"])
-    bins = [f"w_{k}" for k in range(_bins(limits.words))] + ["w_rest"]
-    plain = docs.drop(*OUTPUT, *bins, *CLASS_COLUMNS, "n_chars_read")
-    stats = frozen(histograms(plain, limits.words).drop("text"))
+    return docs.drop(*OUTPUT, *_bin_columns(limits), *CLASS_COLUMNS, "n_chars_read")
+
 
-    sums = stats.groupBy("__lang").agg(*[F.sum(c).alias(c) for c in CLASS_COLUMNS + bins])
-    reference = {r["__lang"]: r for r in sums.collect()}  # one row per listed language
+def _with_verdict(stats: DataFrame, reference: dict[str, dict[str, int]],
+                  limits: Limits) -> DataFrame:
+    bins = _bin_columns(limits)
 
     def normal(columns: list[str]) -> dict[str, list[float]]:
         return {lang: [r[c] / max(1, sum(r[x] for x in columns)) for c in columns]
@@ -128,5 +135,28 @@ def judge(docs: DataFrame, limits: Limits | None = None) -> DataFrame:
                   & (F.col("__lang") != OTHERS) & (F.col("word_distance") > limits.word_distance)))
     return (out.withColumn("kept", ~F.col("base_failed") & ~strange)
             .withColumn("word_chars", F.col("n_chars_read") - F.col("n_space"))
-            .withColumn("n_symbols", F.col("n_symbol"))
-            .select(*plain.drop("text").columns, *OUTPUT))
+            .withColumn("n_symbols", F.col("n_symbol")))
+
+
+def judge(docs: DataFrame, limits: Limits | None = None) -> DataFrame:
+    """``docs`` without the text, with the base counts, ``base_failed``, both
+    distances and ``kept``.  The histograms are computed once and frozen."""
+    limits = limits or Limits()
+    plain = _plain(docs, limits)
+    stats = frozen(histograms(plain, limits.words).drop("text"))
+    reference = references(stats, CLASS_COLUMNS + _bin_columns(limits))
+    return _with_verdict(stats, reference, limits).select(*plain.drop("text").columns, *OUTPUT)
+
+
+def keep(docs: DataFrame, limits: Limits | None = None) -> DataFrame:
+    """``docs`` that pass, with their columns.  The histograms are computed
+    twice, for the references and for the verdict, so that no text crosses the
+    network."""
+    limits = limits or Limits()
+    stats = histograms(_plain(docs, limits), limits.words)
+    reference = references(stats, CLASS_COLUMNS + _bin_columns(limits))
+    # the row number keeps the filter above the counts; pushed below them it
+    # would repeat every expression it is made of
+    judged = _with_verdict(stats, reference, limits).withColumn(
+        "__row", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("__row") >= 0)).select(*docs.columns)

@@ -247,3 +247,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                                                      F.coalesce("component_id", "doc_id")))
             .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
             .select("doc_id", "n_shingles", "component_id", "kept"))
+
+
+def keep(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each group: that with the least id."""
+    copies = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)

@@ -108,6 +108,90 @@ def op10_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.format_pairs(turns, preference.swap_last_reply(turns), "conv_id")
 
 
+def _op2_sql() -> str:
+    """The base counts and both distances from plain regular expressions and
+    joins, without the operator's stripping, sorting or filtering steps."""
+    limits = divergence.Limits()
+    listed = ", ".join(f"('{lang}', '{w}')" for lang, ws in limits.words.items() for w in ws)
+    classes = " UNION ALL ".join(
+        f"SELECT doc_id, k, '{name}' AS bin, len(regexp_extract_all(t, '{pattern}')) AS n FROM d"
+        for name, pattern in (
+            ("lower", "[a-z]"), ("space", r"[\x20\x09-\x0D]"), ("script", r"[^\x00-\x7F]"),
+            ("upper", "[A-Z]"), ("sentence", r"[.,;:!?''\"()\-]"), ("symbol", r"[#*$%&|<>]"),
+            ("digit", "[0-9]"),
+            ("rest", r"[\x00-\x08\x0E-\x1F+/=@\[\\\]^_`{}~\x7F]")))
+    return rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS k,
+         CASE WHEN lang IN ('en', 'de', 'fr', 'es') THEN lang ELSE '*' END AS lang
+  FROM documents
+), w AS (
+  SELECT k, lang, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d
+), places AS (
+  SELECT k, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3
+), windows AS (
+  SELECT k, i, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c FROM places JOIN w USING (k)
+), again AS (
+  SELECT k, i FROM (SELECT *, count(*) OVER (PARTITION BY k, a, b, c) AS n FROM windows)
+  WHERE n > 1
+), repeats AS (
+  SELECT k, count(DISTINCT i + j) AS n FROM again, (VALUES (0), (1), (2)) o(j) GROUP BY k
+), lines AS (
+  SELECT k, count(*) - count(DISTINCT line) AS n
+  FROM (SELECT k, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY k
+), listed(lang, word) AS (VALUES {listed}
+), each AS (SELECT k, lang, unnest(ws) AS raw FROM w
+), tallied AS (
+  SELECT e.k, l.word AS bin, count(*) AS n FROM each e JOIN listed l
+    ON e.lang = l.lang AND lower(e.raw) = l.word
+   AND (e.raw = l.word OR e.raw = upper(l.word)
+        OR e.raw = upper(l.word[1]) || l.word[2:])
+  GROUP BY e.k, l.word
+), word_bins AS (
+  SELECT w.k, w.lang, l.word AS bin, coalesce(t.n, 0) AS n
+  FROM w JOIN listed l USING (lang) LEFT JOIN tallied t ON t.k = w.k AND t.bin = l.word
+  UNION ALL
+  SELECT w.k, w.lang, NULL, len(w.ws) - coalesce((SELECT sum(n) FROM tallied t WHERE t.k = w.k), 0)
+  FROM w
+), class_bins AS (SELECT c.k, d.lang, c.bin, c.n FROM ({classes}) c JOIN d USING (k)
+), bins AS (
+  SELECT 'word' AS kind, k, lang, coalesce(bin, '') AS bin, n FROM word_bins
+  UNION ALL SELECT 'class', k, lang, bin, n FROM class_bins
+), reference AS (
+  SELECT kind, lang, bin, n / greatest(sum(n) OVER (PARTITION BY kind, lang), 1) AS q
+  FROM (SELECT kind, lang, bin, sum(n) AS n FROM bins GROUP BY ALL)
+), pq AS (
+  SELECT b.kind, b.k, r.q, coalesce(b.n / nullif(sum(b.n) OVER (PARTITION BY b.kind, b.k), 0), 0)
+    AS p
+  FROM bins b JOIN reference r USING (kind, lang, bin)
+), js AS (
+  SELECT kind, k, sqrt(greatest(sum(
+    CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS v
+  FROM pq GROUP BY kind, k
+), facts AS (
+  SELECT d.doc_id, d.lang, length(d.t) AS chars, len(w.ws) AS n_words,
+         length(regexp_replace(d.t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         len(regexp_extract_all(d.t, '[#*$%&|<>]')) AS n_symbols,
+         coalesce(l.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+         c.v AS class_v, x.v AS word_v
+  FROM d JOIN w USING (k) LEFT JOIN lines l USING (k) LEFT JOIN repeats r USING (k)
+  JOIN js c ON c.k = d.k AND c.kind = 'class' JOIN js x ON x.k = d.k AND x.kind = 'word'
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < {limits.min_words} OR 100 * n_repeat_words > {limits.max_repeat_percent} * n_words
+         AS base_failed,
+       NOT (n_words < {limits.min_words}
+            OR 100 * n_repeat_words > {limits.max_repeat_percent} * n_words
+            OR (chars >= {limits.class_min_chars} AND class_v > {limits.class_distance})
+            OR (n_words >= {limits.word_min_words} AND lang <> '*'
+                AND word_v > {limits.word_distance})) AS kept,
+       round(class_v, 6) AS class_distance, round(word_v, 6) AS word_distance
+FROM facts
+"""
+
+
 OP9_SQL = r"""
 WITH cut AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0
@@ -201,4 +285,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_rarest_token_rules": OP9_SQL, "op10_preference_pairs": OP10_SQL}
+    return {"op2_divergence_rules": _op2_sql(), "op9_rarest_token_rules": OP9_SQL,
+            "op10_preference_pairs": OP10_SQL}
