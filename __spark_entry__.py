@@ -14,6 +14,7 @@ Ids: the model numbers rows in natural-key order; the twins do the same with
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -199,6 +200,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return R.common_contact_by_facility(_model(spark, SMOKE_DIR))
 
 
+def _llm_parts() -> tuple | None:
+    """The text operators and their pipeline, where they are installed."""
+    for name in ("casetrace.llm", "corpus_pipeline"):
+        spec = importlib.util.find_spec(name)
+        if spec is None or spec.origin is None:
+            return None
+    import corpus_pipeline
+    from casetrace.llm import queries as text_queries
+    return text_queries, corpus_pipeline
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = {
         "s1_csv_scan": q_csv_scan,
@@ -237,6 +249,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "a6_top_contact_kind": q_top_contact_kind,
         "s8_result_rows": q_result_rows,
     }
+    if llm := _llm_parts():
+        q |= llm[0].queries() | {"pipeline": llm[1].run}
     return q
 
 
@@ -718,4 +732,8 @@ WHERE dh.facility_id = (SELECT MAX(dh2.facility_id) FROM person_facility dh2
         out[f"{bid}_{table}"] = _with(f"SELECT {cols} FROM {table}")
     for name, body in REPORT_SQL.items():
         out[name] = _with(body)
+    if llm := _llm_parts():
+        out |= llm[0].oracle_sql()
+        if llm[1].ORACLE_SQL:
+            out["pipeline"] = llm[1].ORACLE_SQL
     return out
