@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,17 +88,20 @@ def histograms(docs: DataFrame, words: dict[str, list[str]]) -> DataFrame:
 
 
 def _divergence(counts: list[str], reference: dict[str, list[float]]) -> Column:
-    """Jensen-Shannon distance of a row's counts to its language's reference."""
-    total = sum((F.col(c) for c in counts), F.lit(0))
-    terms = F.lit(0.0)
-    for i, c in enumerate(counts):
-        p = share(F.col(c), total)
-        q = F.coalesce(*[F.when(F.col("__lang") == lang, F.lit(float(v[i])))
-                         for lang, v in reference.items()], F.lit(0.0))
-        m = (p + q) / 2
-        terms = (terms + F.when(p > 0, p * F.log2(p / m)).otherwise(0.0)
-                 + F.when(q > 0, q * F.log2(q / m)).otherwise(0.0))
-    return F.sqrt(F.greatest(terms / 2, F.lit(0.0)))
+    """Jensen-Shannon distance of a row's counts to its language's reference.
+    As array functions, so that the generated code stays small."""
+    held = F.array(*[F.col(c).cast("double") for c in counts])
+    total = F.aggregate(held, F.lit(0.0), lambda a, c: a + c)
+    own = F.transform(held, lambda c: share(c, total))
+    theirs = F.coalesce(*[F.when(F.col("__lang") == lang, F.lit(np.array(v, dtype=np.float64)))
+                          for lang, v in reference.items()],
+                        F.lit(np.zeros(len(counts))))
+
+    def term(x: Column, p: Column, q: Column) -> Column:
+        return F.when(x > 0, x * F.log2(2 * x / (p + q))).otherwise(0.0)
+
+    terms = F.zip_with(own, theirs, lambda p, q: term(p, p, q) + term(q, p, q))
+    return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, t: a + t) / 2, F.lit(0.0)))
 
 
 def references(stats: DataFrame, columns: list[str]) -> dict[str, dict[str, int]]:
