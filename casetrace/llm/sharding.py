@@ -33,22 +33,23 @@ ROUNDS = 6
 _KEY = "__key"
 
 
-def _literal(keys: list) -> Column:
-    """Splitters as one sorted array constant."""
-    parts = [F.lit(np.array(part, dtype=np.int64)) for part in zip(*keys)]
-    return F.arrays_zip(*parts).cast("array<struct<h:bigint,r:bigint,s:bigint>>")
-
-
 def range_of(key: Column, splitters: list) -> Column:
-    """Number of splitters at or below ``key``: a binary search over the
-    sorted splitter array, a handful of comparisons a row."""
+    """Number of splitters at or below ``key``: a binary search over sorted
+    constant arrays, a handful of comparisons a row."""
     if not splitters:
         return F.lit(0)
     steps = [1 << b for b in range(len(splitters).bit_length() - 1, -1, -1)]
-    array = _literal(splitters)
+    # one array per part of the key: a single array of structs would be built
+    # anew for every comparison
+    h, r, s = (F.lit(np.array(part, dtype=np.int64)) for part in zip(*splitters))
+
+    def reached(i: Column) -> Column:
+        ties = ((F.get(r, i) < key["r"]) | ((F.get(r, i) == key["r"]) & (F.get(s, i) <= key["s"])))
+        return (F.get(h, i) < key["h"]) | ((F.get(h, i) == key["h"]) & ties)
+
     return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]), F.lit(0),
-        lambda at, step: F.when(F.get(array, at + step - 1) <= key, at + step).otherwise(at))
+        F.array(*[F.lit(n) for n in steps]), F.lit(0),
+        lambda at, step: F.when(reached(at + step - 1), at + step).otherwise(at))
 
 
 def _draw(rows: DataFrame, rate: Column, salt: int) -> DataFrame:
