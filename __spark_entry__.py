@@ -3,10 +3,9 @@
 Every query builds the case feed from the given tables (one record per
 ``lineitem``, FIXTURES.md section 3), normalises it with ``casetrace`` and
 returns one model table, one report or one operator's output over the *whole*
-feed.  The oracle SQL twins are written independently, in the plain relational
-form of the original statements (the acquaintance date as a self-join, the
-last facility and the per-facility base as correlated subqueries), so the
-rewritten Spark plans are really tested against them.
+feed.  The oracle SQL twins are queries of their own design for the same
+definitions: lists of ids that are unnested, ranks instead of thresholds,
+semi and anti joins, and one pass for two loads.
 
 Ids: the model numbers rows in natural-key order; the twins do the same with
 ``row_number() OVER (ORDER BY ...)`` (NULLS FIRST, binary string order).
@@ -295,111 +294,87 @@ staging AS (
   JOIN part ON l_partkey = p_partkey
 )"""
 
+# The twins follow the definitions of the model, in forms of their own: ids are
+# dense ranks, a natural key that stands for several rows is a list of ids that
+# is unnested, and one keyed feed serves every person-keyed table.
+
+
+def _ranked(table: str, id_col: str, columns: dict[str, str], optional: str = "") -> str:
+    """A dimension: distinct rows whose columns (but ``optional``) are present."""
+    order = ", ".join(f"{c} NULLS FIRST" for c in columns.values())
+    shown = ", ".join(f"{c} AS {name}" for name, c in columns.items())
+    present = " AND ".join(f"{c} IS NOT NULL" for c in columns.values() if c != optional)
+    return f"""{table} AS (
+  SELECT DISTINCT dense_rank() OVER (ORDER BY {order}) AS {id_col}, {shown}
+  FROM staging WHERE {present}
+)"""
+
+
+def _bridge(table: str, columns: str, order: str, rows: str) -> str:
+    """A bridge: ``rows`` once each, numbered in ``order``."""
+    return f"""{table} AS (
+  SELECT row_number() OVER (ORDER BY {order}) AS id, {columns}
+  FROM (SELECT DISTINCT {columns} FROM {rows})
+)"""
+
+
+PERSON_COLUMNS = {
+    "given": "person_given", "family": "person_family", "address": "person_address",
+    "status": "person_status", "suspected_on": "suspected_on", "confirmed_on": "confirmed_on",
+    "died_on": "died_on"}
+
 MODEL_SQL = {
-    "associate": """
-associate AS (
-  SELECT CAST(row_number() OVER (ORDER BY given, family) AS BIGINT) AS associate_id,
-         given, family
-  FROM (SELECT DISTINCT associate_given AS given, associate_family AS family
-        FROM staging
-        WHERE associate_given IS NOT NULL AND associate_family IS NOT NULL) r
-)""",
-    "person": """
-person AS (
-  SELECT CAST(row_number() OVER (ORDER BY given, family, address, status, suspected_on,
-                                 confirmed_on, died_on NULLS FIRST) AS BIGINT) AS person_id,
-         given, family, address, status, suspected_on, confirmed_on, died_on
-  FROM (SELECT DISTINCT person_given AS given, person_family AS family,
-               person_address AS address, person_status AS status,
-               suspected_on, confirmed_on, died_on
-        FROM staging
-        WHERE person_given IS NOT NULL AND person_family IS NOT NULL
-          AND person_address IS NOT NULL AND person_status IS NOT NULL
-          AND suspected_on IS NOT NULL AND confirmed_on IS NOT NULL) r
-)""",
-    "facility": """
-facility AS (
-  SELECT CAST(row_number() OVER (ORDER BY name, address) AS BIGINT) AS facility_id,
-         name, address
-  FROM (SELECT DISTINCT facility_name AS name, facility_address AS address
-        FROM staging
-        WHERE facility_name IS NOT NULL AND facility_address IS NOT NULL) r
-)""",
-    "treatment": """
-treatment AS (
-  SELECT CAST(row_number() OVER (ORDER BY description, score) AS BIGINT) AS treatment_id,
-         description, score
-  FROM (SELECT DISTINCT treatment AS description, treatment_score AS score
-        FROM staging
-        WHERE treatment IS NOT NULL AND treatment_score IS NOT NULL) r
-)""",
-    "person_facility": """
-person_facility AS (
-  SELECT CAST(row_number() OVER (ORDER BY facility_id, person_id) AS BIGINT) AS id,
-         person_id, facility_id
-  FROM (SELECT h.facility_id, v.person_id
-        FROM staging r
-        JOIN facility h ON r.facility_name = h.name AND r.facility_address = h.address
-        JOIN person v ON r.person_given = v.given AND r.person_family = v.family
-                     AND r.person_address = v.address
-        GROUP BY h.facility_id, v.person_id) x
+    "associate": _ranked("associate", "associate_id", {
+        "given": "associate_given", "family": "associate_family"}) + """,
+associate_names AS (
+  SELECT associate_id, given AS associate_given, family AS associate_family FROM associate
 )""",
-    "person_stay": """
-person_stay AS (
-  SELECT CAST(row_number() OVER (ORDER BY person_id, address, stay_from, stay_to) AS BIGINT)
-           AS id,
-         address, stay_from, stay_to, person_id
-  FROM (SELECT DISTINCT r.stay_address AS address, r.stay_from, r.stay_to, v.person_id
-        FROM staging r
-        JOIN person v ON r.person_given = v.given AND r.person_family = v.family
-                     AND r.person_address = v.address
-        WHERE r.stay_address IS NOT NULL AND r.stay_from IS NOT NULL
-          AND r.stay_to IS NOT NULL) x
-)""",
-    "person_treatment": """
-person_treatment AS (
-  SELECT CAST(row_number() OVER (ORDER BY person_id, treatment_id, person_score NULLS FIRST,
-                                 treated_from NULLS FIRST, treated_to NULLS FIRST) AS BIGINT)
-           AS id,
-         person_score, treated_from, treated_to, treatment_id, person_id
-  FROM (SELECT v.person_id, t.treatment_id, r.person_score, r.treated_from, r.treated_to
-        FROM person v
-        JOIN staging r ON v.given = r.person_given AND v.family = r.person_family
-                      AND v.address = r.person_address
-        JOIN treatment t ON t.description = r.treatment
-        GROUP BY v.person_id, t.treatment_id, r.person_score, r.treated_from,
-                 r.treated_to) x
-)""",
-    "contact": """
-contact AS (
-  SELECT CAST(row_number() OVER (ORDER BY person_id, associate_id, kind, contact_from,
-                                 contact_to) AS BIGINT) AS id,
-         kind, contact_from, contact_to, associate_id, person_id
-  FROM (SELECT r.contact_kind AS kind, r.contact_from, r.contact_to, v.person_id,
-               a.associate_id
-        FROM staging r
-        JOIN person v ON v.given = r.person_given AND v.family = r.person_family
-        JOIN associate a ON a.given = r.associate_given AND a.family = r.associate_family
-        WHERE r.contact_kind IS NOT NULL AND r.contact_from IS NOT NULL
-          AND r.contact_to IS NOT NULL
-        GROUP BY r.contact_kind, r.contact_from, r.contact_to, v.person_id,
-                 a.associate_id) x
-)""",
-    "acquaintance": """
-acquaintance AS (
-  SELECT CAST(row_number() OVER (ORDER BY associate_id, person_id) AS BIGINT) AS id,
-         met_on, associate_id, person_id
-  FROM (SELECT MAX(r2.met_on) AS met_on, d.associate_id, v.person_id
-        FROM (SELECT r.*, a.associate_id
-              FROM staging r
-              JOIN associate a ON r.associate_given = a.given
-                              AND r.associate_family = a.family) d
-        JOIN person v ON d.person_given = v.given AND d.person_family = v.family
-                     AND d.person_address = v.address
-        LEFT JOIN staging r2 ON r2.person_given = v.given AND r2.person_family = v.family
-                            AND r2.person_address = v.address
-        GROUP BY d.associate_id, v.person_id) x
+    "person": _ranked("person", "person_id", PERSON_COLUMNS, optional="died_on") + """,
+person_homes AS (
+  SELECT given AS person_given, family AS person_family, address AS person_address,
+         list(person_id) AS ids
+  FROM person GROUP BY ALL
+),
+keyed AS (
+  SELECT staging.*, unnest(ids) AS person_id
+  FROM staging JOIN person_homes USING (person_given, person_family, person_address)
 )""",
+    "facility": _ranked("facility", "facility_id", {
+        "name": "facility_name", "address": "facility_address"}),
+    "treatment": _ranked("treatment", "treatment_id", {
+        "description": "treatment", "score": "treatment_score"}),
+    "person_facility": _bridge(
+        "person_facility", "person_id, facility_id", "facility_id, person_id",
+        """keyed JOIN (SELECT facility_id, name AS facility_name, address AS facility_address
+                       FROM facility) USING (facility_name, facility_address)"""),
+    "person_stay": _bridge(
+        "person_stay", "address, stay_from, stay_to, person_id",
+        "person_id, address, stay_from, stay_to",
+        """(SELECT stay_address AS address, * FROM keyed)
+           WHERE address IS NOT NULL AND stay_from IS NOT NULL AND stay_to IS NOT NULL"""),
+    "person_treatment": _bridge(
+        "person_treatment", "person_score, treated_from, treated_to, treatment_id, person_id",
+        "person_id, treatment_id, person_score NULLS FIRST, treated_from NULLS FIRST, "
+        "treated_to NULLS FIRST",
+        """(SELECT k.*, unnest(scored) AS treatment_id FROM keyed k JOIN (
+             SELECT description AS treatment, list(treatment_id) AS scored FROM treatment
+             GROUP BY ALL) USING (treatment))"""),
+    "contact": _bridge(
+        "contact", "kind, contact_from, contact_to, associate_id, person_id",
+        "person_id, associate_id, kind, contact_from, contact_to",
+        """(SELECT contact_kind AS kind, contact_from, contact_to, associate_id,
+                   unnest(bearers) AS person_id
+            FROM staging JOIN associate_names USING (associate_given, associate_family)
+            JOIN (SELECT given AS person_given, family AS person_family,
+                         list(person_id) AS bearers FROM person GROUP BY ALL)
+              USING (person_given, person_family)
+            WHERE contact_kind IS NOT NULL AND contact_from IS NOT NULL
+              AND contact_to IS NOT NULL)"""),
+    "acquaintance": _bridge(
+        "acquaintance", "met_on, associate_id, person_id", "associate_id, person_id",
+        """(SELECT person_id, associate_given, associate_family,
+                   max(met_on) OVER (PARTITION BY person_id) AS met_on FROM keyed)
+           JOIN associate_names USING (associate_given, associate_family)"""),
 }
 
 MODEL_ORDER = ["associate", "person", "facility", "treatment", "person_facility",
@@ -415,115 +390,78 @@ def _pct(part: str, whole: str) -> str:
     return (f"CAST(((20000 * ({part}) + ({whole})) // (2 * ({whole}))) AS DOUBLE) / 100.0")
 
 
+def _treated(description: str, extra: str = "") -> str:
+    return f"""SELECT person_id FROM person_treatment WHERE treatment_id IN (
+      SELECT treatment_id FROM treatment WHERE description = '{description}'){extra}"""
+
+
+DEAD = f"(status = '{P['deceased_status']}' OR died_on IS NOT NULL)"
+TWICE_TREATED = """SELECT person_id FROM (
+    SELECT person_id, len(list(treatment_id)) AS n FROM person_treatment GROUP BY person_id)
+  WHERE n = 2"""
+
 REPORT_SQL = {
     "r1_deaths_by_facility": f"""
-SELECT h.name, h.address,
-       CAST(COUNT(CASE WHEN v.status = '{P["deceased_status"]}' OR v.died_on IS NOT NULL
-                       THEN 1 ELSE NULL END) AS BIGINT) AS deaths
-FROM person_facility dh
-JOIN facility h ON dh.facility_id = h.facility_id
-JOIN person v ON dh.person_id = v.person_id
-GROUP BY h.facility_id, h.name, h.address
-ORDER BY h.name""",
+SELECT name, facility.address, count(*) FILTER (WHERE gone) AS deaths
+FROM facility JOIN person_facility USING (facility_id)
+JOIN (SELECT person_id, coalesce({DEAD}, FALSE) AS gone FROM person) USING (person_id)
+GROUP BY facility_id, name, facility.address""",
     "r2_persons_by_treatment_score": f"""
-SELECT DISTINCT v.given, v.family
-FROM person v
-JOIN person_treatment ve ON v.person_id = ve.person_id
-JOIN treatment t ON ve.treatment_id = t.treatment_id
-WHERE t.description = '{P["score_treatment"]}' AND ve.person_score > 5
-ORDER BY v.given""",
+SELECT given, family FROM person
+SEMI JOIN ({_treated(P["score_treatment"], " AND person_score > 5")}) USING (person_id)
+GROUP BY given, family""",
     "r3_deceased_with_many_associates": f"""
-SELECT DISTINCT given, family, address FROM (
-  SELECT v.person_id, v.given, v.family, v.address
-  FROM person v
-  JOIN acquaintance dc ON v.person_id = dc.person_id
-  WHERE v.status = '{P["deceased_status"]}' OR v.died_on IS NOT NULL
-  GROUP BY v.person_id, v.given, v.family, v.address
-  HAVING COUNT(dc.associate_id) > 3) g""",
+SELECT given, family, address FROM person
+SEMI JOIN (SELECT person_id FROM acquaintance
+           QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY id) = 4) USING (person_id)
+WHERE {DEAD} GROUP BY given, family, address""",
     "r4_contacts_by_kind": f"""
-SELECT DISTINCT given, family FROM (
-  SELECT v.person_id, v.given, v.family
-  FROM contact c
-  JOIN associate a ON c.associate_id = a.associate_id
-  JOIN person v ON c.person_id = v.person_id
-  WHERE v.status = '{P["suspended_status"]}' AND c.kind = '{P["contact_kind"]}'
-  GROUP BY v.person_id, v.given, v.family
-  HAVING COUNT(DISTINCT a.associate_id) > 2) g""",
+SELECT given, family FROM person
+SEMI JOIN (SELECT person_id FROM contact WHERE kind = '{P["contact_kind"]}'
+           QUALIFY dense_rank() OVER (PARTITION BY person_id ORDER BY associate_id) = 3)
+  USING (person_id)
+WHERE status = '{P["suspended_status"]}' GROUP BY given, family""",
     "r5_top_persons_by_treatment": f"""
-SELECT given, family, address, n FROM (
-  SELECT v.given, v.family, v.address, CAST(COUNT(*) AS BIGINT) AS n
-  FROM person v
-  JOIN person_treatment ve ON v.person_id = ve.person_id
-  JOIN treatment t ON ve.treatment_id = t.treatment_id AND t.description = '{P["top_treatment"]}'
-  GROUP BY v.person_id, v.given, v.family, v.address) g
-ORDER BY n DESC, given, family, address
-LIMIT 5""",
+SELECT given, family, address, n FROM person
+JOIN (SELECT person_id, count(*) AS n FROM ({_treated(P["top_treatment"])}) GROUP BY person_id)
+  USING (person_id)
+ORDER BY n DESC, given, family, address LIMIT 5""",
     "r6_persons_by_location_and_treatment": f"""
-SELECT DISTINCT v.given, v.family, v.died_on
-FROM person v
-JOIN person_stay u ON v.person_id = u.person_id
-JOIN person_treatment ve ON v.person_id = ve.person_id
-JOIN treatment t ON ve.treatment_id = t.treatment_id
-WHERE u.address = '{P["stay_address"]}' AND t.description = '{P["stay_treatment"]}'""",
-    "r7a_persons_with_n_treatments": """
-SELECT v.given, v.family, v.address
-FROM person v
-WHERE v.person_id IN (
-  SELECT ve.person_id FROM person_treatment ve
-  GROUP BY ve.person_id HAVING COUNT(ve.treatment_id) = 2)""",
-    "r7b_persons_with_n_treatments_few_associates": """
-SELECT v.given, v.family, v.address
-FROM person v
-LEFT JOIN acquaintance dc ON v.person_id = dc.person_id
-WHERE v.person_id IN (
-  SELECT ve.person_id FROM person_treatment ve
-  GROUP BY ve.person_id HAVING COUNT(ve.treatment_id) = 2)
-GROUP BY v.person_id, v.given, v.family, v.address
-HAVING COUNT(dc.associate_id) < 2""",
+SELECT given, family, died_on FROM person
+SEMI JOIN (SELECT person_id FROM person_stay WHERE address = '{P["stay_address"]}'
+           INTERSECT {_treated(P["stay_treatment"])}) USING (person_id)
+GROUP BY given, family, died_on""",
+    "r7a_persons_with_n_treatments": f"""
+SELECT given, family, address FROM person SEMI JOIN ({TWICE_TREATED}) USING (person_id)""",
+    "r7b_persons_with_n_treatments_few_associates": f"""
+SELECT given, family, address FROM person SEMI JOIN ({TWICE_TREATED}) USING (person_id)
+ANTI JOIN (SELECT person_id FROM acquaintance
+           QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY id) = 2)
+  USING (person_id)""",
     "r8_extremes_by_month": """
-SELECT * FROM (
-  SELECT * FROM (
-    SELECT CAST(EXTRACT(MONTH FROM v.suspected_on) AS INTEGER) AS month, v.given, v.family,
-           CAST(COUNT(*) AS BIGINT) AS n
-    FROM person v
-    JOIN person_treatment ve ON v.person_id = ve.person_id
-    JOIN treatment t ON t.treatment_id = ve.treatment_id
-    GROUP BY EXTRACT(MONTH FROM v.suspected_on), v.given, v.family) g
-  ORDER BY n DESC, month, given, family LIMIT 10) top_k
-UNION ALL
-SELECT * FROM (
-  SELECT * FROM (
-    SELECT CAST(EXTRACT(MONTH FROM v.suspected_on) AS INTEGER) AS month, v.given, v.family,
-           CAST(COUNT(*) AS BIGINT) AS n
-    FROM person v
-    JOIN person_treatment ve ON v.person_id = ve.person_id
-    JOIN treatment t ON t.treatment_id = ve.treatment_id
-    GROUP BY EXTRACT(MONTH FROM v.suspected_on), v.given, v.family) g
-  ORDER BY n ASC, month, given, family LIMIT 10) bottom_k""",
+SELECT month, given, family, n FROM (
+  SELECT *, row_number() OVER (ORDER BY n DESC, month, given, family) AS from_top,
+         row_number() OVER (ORDER BY n, month, given, family) AS from_bottom
+  FROM (SELECT CAST(month(suspected_on) AS INTEGER) AS month, given, family, count(*) AS n
+        FROM person JOIN person_treatment USING (person_id) GROUP BY ALL)),
+  (VALUES ('top'), ('bottom')) ends(which)
+WHERE CASE which WHEN 'top' THEN from_top ELSE from_bottom END <= 10""",
     "r9_facility_share": f"""
-SELECT h.name, h.address, CAST(COUNT(dh.person_id) AS BIGINT) AS n,
-       {_pct("COUNT(dh.person_id)", "(SELECT COUNT(*) FROM person_facility)")} AS pct
-FROM facility h
-JOIN person_facility dh ON h.facility_id = dh.facility_id
-GROUP BY h.facility_id, h.name, h.address
-ORDER BY pct DESC""",
+SELECT name, address, n, {_pct("n", "CAST(whole AS BIGINT)")} AS pct
+FROM (SELECT facility_id, count(*) AS n, sum(count(*)) OVER () AS whole
+      FROM person_facility GROUP BY facility_id)
+JOIN facility USING (facility_id)""",
     "r10_common_contact_by_facility": f"""
-SELECT name, address, kind, {_pct("cnt", "base")} AS pct
-FROM (
-  SELECT h.name, h.address, c.kind, COUNT(*) AS cnt,
-         (SELECT COUNT(*) FROM person_facility dh2
-          JOIN facility h2 ON h2.facility_id = dh2.facility_id
-          WHERE h2.facility_id = h.facility_id) AS base,
-         ROW_NUMBER() OVER (PARTITION BY h.facility_id ORDER BY COUNT(*) DESC, c.kind) AS rn
-  FROM facility h
-  JOIN person_facility dh ON h.facility_id = dh.facility_id
-  JOIN (SELECT person_id, MAX(kind) AS kind FROM contact GROUP BY person_id) c
-    ON c.person_id = dh.person_id
-  WHERE dh.facility_id = (SELECT MAX(facility_id) FROM person_facility dh2
-                          WHERE dh2.person_id = dh.person_id)
-  GROUP BY h.facility_id, h.name, h.address, c.kind) g
-WHERE rn = 1
-ORDER BY pct DESC""",
+SELECT name, address, arg_min(kind, (-votes, kind)) AS kind,
+       {_pct("max(votes)", "any_value(visits)")} AS pct
+FROM (SELECT facility_id, kind, count(*) AS votes
+      FROM (SELECT person_id, max(facility_id) AS facility_id FROM person_facility GROUP BY ALL)
+      JOIN (SELECT person_id, max(kind) AS kind FROM contact GROUP BY ALL) USING (person_id)
+      GROUP BY ALL)
+JOIN (SELECT facility_id, count(*) AS visits FROM person_facility GROUP BY ALL)
+  USING (facility_id)
+JOIN facility USING (facility_id)
+GROUP BY facility_id, name, address""",
 }
 
 _TEXT_DATE = "strftime({c}, '%d/%m/%Y %H:%M')"
@@ -557,105 +495,58 @@ def _dense_id_sql() -> str:
                  + ", ".join(cols) + " FROM staging", ())
 
 
+def _two_loads(table: str, id_col: str, columns: dict[str, str], key: list[str],
+               optional: str = "") -> str:
+    """A dimension after two loads.  A row is early when the first load holds
+    it; a late row stays out when an early one bears its key; ids number the
+    early rows first."""
+    shown = ", ".join(f"{c} AS {name}" for name, c in columns.items())
+    present = " AND ".join(f"{c} IS NOT NULL" for c in columns.values() if c != optional)
+    order = ", ".join(f"{name} NULLS FIRST" for name in columns)
+    return f"""{table}2 AS (
+  SELECT row_number() OVER (ORDER BY early DESC, {order}) AS {id_col}, * FROM (
+    SELECT * FROM (
+      SELECT {shown}, bool_or(coalesce(suspected_on < DATE '{SPLIT_DATE}', FALSE)) AS early
+      FROM staging WHERE {present} GROUP BY {", ".join(columns.values())})
+    QUALIFY early OR NOT bool_or(early) OVER (PARTITION BY {", ".join(key)}))
+)"""
+
+
+PERSON_TWICE = _two_loads("person", "person_id", PERSON_COLUMNS, ["given", "family", "address"],
+                          optional="died_on")
+
+
 def _insert_if_absent_sql() -> str:
-    def distinct(where: str) -> str:
-        return f"""SELECT DISTINCT person_given AS given, person_family AS family,
-               person_address AS address, person_status AS status,
-               suspected_on, confirmed_on, died_on
-        FROM staging
-        WHERE person_given IS NOT NULL AND person_family IS NOT NULL
-          AND person_address IS NOT NULL AND person_status IS NOT NULL
-          AND suspected_on IS NOT NULL AND confirmed_on IS NOT NULL {where}"""
-    order = ("given, family, address, status, suspected_on, confirmed_on, "
-             "died_on NULLS FIRST")
-    body = f"""
-, first_load AS (
-  SELECT CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS person_id, *
-  FROM ({distinct(f"AND suspected_on < DATE '{SPLIT_DATE}'")}) r
-), second_load AS (
-  SELECT (SELECT COALESCE(MAX(person_id), 0) FROM first_load)
-         + CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS person_id, *
-  FROM ({distinct("")}) r
-  WHERE NOT EXISTS (SELECT 1 FROM first_load p WHERE p.given = r.given
-                    AND p.family = r.family AND p.address = r.address)
-)
-SELECT person_id, given, family, address, status, suspected_on, confirmed_on, died_on
-FROM first_load
-UNION ALL
-SELECT person_id, given, family, address, status, suspected_on, confirmed_on, died_on
-FROM second_load"""
-    return _with(body, ())
+    shown = ", ".join(PERSON_COLUMNS)
+    return _with(f", {PERSON_TWICE}\nSELECT person_id, {shown} FROM person2", ())
 
 
 def _contact_two_loads_sql() -> str:
-    person_cols = """person_given AS given, person_family AS family, person_address AS address,
-               person_status AS status, suspected_on, confirmed_on, died_on"""
-    person_where = """person_given IS NOT NULL AND person_family IS NOT NULL
-          AND person_address IS NOT NULL AND person_status IS NOT NULL
-          AND suspected_on IS NOT NULL AND confirmed_on IS NOT NULL"""
-    person_order = ("given, family, address, status, suspected_on, confirmed_on, "
-                    "died_on NULLS FIRST")
-    contact_order = "person_id, associate_id, kind, contact_from, contact_to"
-
-    def contacts(src: str, persons: str, associates: str) -> str:
-        return f"""SELECT r.contact_kind AS kind, r.contact_from, r.contact_to,
-                          v.person_id, a.associate_id
-                   FROM {src} r
-                   JOIN {persons} v ON v.given = r.person_given AND v.family = r.person_family
-                   JOIN {associates} a ON a.given = r.associate_given
-                                      AND a.family = r.associate_family
-                   WHERE r.contact_kind IS NOT NULL AND r.contact_from IS NOT NULL
-                     AND r.contact_to IS NOT NULL
-                   GROUP BY 1, 2, 3, 4, 5"""
-    body = f"""
-, load1 AS (SELECT * FROM staging WHERE suspected_on < DATE '{SPLIT_DATE}')
-, person1 AS (
-  SELECT CAST(row_number() OVER (ORDER BY {person_order}) AS BIGINT) AS person_id, *
-  FROM (SELECT DISTINCT {person_cols} FROM load1 WHERE {person_where}) r)
-, associate1 AS (
-  SELECT CAST(row_number() OVER (ORDER BY given, family) AS BIGINT) AS associate_id, *
-  FROM (SELECT DISTINCT associate_given AS given, associate_family AS family FROM load1
-        WHERE associate_given IS NOT NULL AND associate_family IS NOT NULL) r)
-, contact1 AS (
-  SELECT CAST(row_number() OVER (ORDER BY {contact_order}) AS BIGINT) AS id, *
-  FROM ({contacts("load1", "person1", "associate1")}) x)
-, person2 AS (
-  SELECT * FROM person1
-  UNION ALL
-  SELECT (SELECT COALESCE(MAX(person_id), 0) FROM person1)
-         + CAST(row_number() OVER (ORDER BY {person_order}) AS BIGINT), *
-  FROM (SELECT DISTINCT {person_cols} FROM staging WHERE {person_where}) r
-  WHERE NOT EXISTS (SELECT 1 FROM person1 p WHERE p.given = r.given AND p.family = r.family
-                    AND p.address = r.address))
-, associate2 AS (
-  SELECT * FROM associate1
-  UNION ALL
-  SELECT (SELECT COALESCE(MAX(associate_id), 0) FROM associate1)
-         + CAST(row_number() OVER (ORDER BY given, family) AS BIGINT), *
-  FROM (SELECT DISTINCT associate_given AS given, associate_family AS family FROM staging
-        WHERE associate_given IS NOT NULL AND associate_family IS NOT NULL) r
-  WHERE NOT EXISTS (SELECT 1 FROM associate1 a WHERE a.given = r.given
-                    AND a.family = r.family))
-SELECT id, kind, contact_from, contact_to, associate_id, person_id FROM contact1
-UNION ALL
-SELECT (SELECT COALESCE(MAX(id), 0) FROM contact1)
-       + CAST(row_number() OVER (ORDER BY {contact_order}) AS BIGINT) AS id,
+    associate = _two_loads("associate", "associate_id", {
+        "given": "associate_given", "family": "associate_family"}, ["given", "family"])
+    return _with(f"""
+, {PERSON_TWICE}
+, {associate}
+, met AS (
+  SELECT contact_kind AS kind, contact_from, contact_to, associate_id, person_id,
+         bool_or(coalesce(staging.suspected_on < DATE '{SPLIT_DATE}', FALSE)
+                 AND person2.early AND associate2.early) AS early
+  FROM staging
+  JOIN person2 ON (person_given, person_family) = (person2.given, person2.family)
+  JOIN associate2 ON (associate_given, associate_family) = (associate2.given, associate2.family)
+  WHERE contact_kind IS NOT NULL AND contact_from IS NOT NULL AND contact_to IS NOT NULL
+  GROUP BY ALL
+)
+SELECT row_number() OVER (ORDER BY early DESC, person_id, associate_id, kind, contact_from,
+                          contact_to) AS id,
        kind, contact_from, contact_to, associate_id, person_id
-FROM ({contacts("staging", "person2", "associate2")}) c
-WHERE NOT EXISTS (SELECT 1 FROM contact1 o WHERE o.kind = c.kind
-                  AND o.contact_from = c.contact_from AND o.contact_to = c.contact_to
-                  AND o.person_id = c.person_id AND o.associate_id = c.associate_id)"""
-    return _with(body, ())
+FROM met""", ())
 
 
 def _lookup_sql() -> str:
-    keyed = ["facility_name", "facility_address", "stay_address", "stay_from", "stay_to",
-             "treatment", "person_score", "treated_from", "treated_to",
-             "associate_given", "associate_family", "met_on"]
-    return _with("SELECT " + ", ".join(f"r.{c}" for c in keyed) + ", v.person_id "
-                 "FROM staging r JOIN person v ON r.person_given = v.given "
-                 "AND r.person_family = v.family AND r.person_address = v.address",
-                 ("person",))
+    return _with("""SELECT facility_name, facility_address, stay_address, stay_from, stay_to,
+       treatment, person_score, treated_from, treated_to, associate_given, associate_family,
+       met_on, person_id FROM keyed""", ("person",))
 
 
 def _violations_sql() -> str:
@@ -715,11 +606,9 @@ FROM (SELECT l_orderkey, l_linenumber,
         "st_stream_ingest": _insert_if_absent_sql(),
         "k3_lookup_id": _lookup_sql(),
         "k4_k7_violations": _violations_sql(),
-        "w10_last_facility": _with("""
-SELECT DISTINCT dh.person_id, dh.facility_id
-FROM person_facility dh
-WHERE dh.facility_id = (SELECT MAX(dh2.facility_id) FROM person_facility dh2
-                        WHERE dh2.person_id = dh.person_id)"""),
+        "w10_last_facility": _with(
+            "SELECT person_id, max(facility_id) AS facility_id FROM person_facility "
+            "GROUP BY person_id"),
         "a6_top_contact_kind": _with(
             "SELECT person_id, MAX(kind) AS kind FROM contact GROUP BY person_id"),
         "s8_result_rows": _result_rows_sql(),
