@@ -36,6 +36,7 @@ from casetrace.sources.case_feed import (clean_case_records, load_and_stage,  #
                                          load_case_records, read_case_records, to_feed_text,
                                          write_case_feed)
 from casetrace.sources.fixtures import case_records_from_tables  # noqa: E402
+from casetrace.sources.tables import append_model, read_model, write_model  # noqa: E402
 from casetrace.streaming.ingest import read_appended_model, start_ingest  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -148,6 +149,18 @@ def q_contact_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_model(st, existing=first).contact
 
 
+def q_append_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 after K2: the first load's model stored, the second load appended to
+    it in place, and the contacts read back."""
+    st = _staging(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    write_model(build_model(st.where(F.col("suspected_on") < F.lit(SPLIT_DATE).cast("date"))),
+                path)
+    stored = read_model(spark, path)
+    append_model(build_model(st, existing=stored), stored, path)
+    return read_model(spark, path).contact
+
+
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming ingest: the records suspected before SPLIT_DATE arrive as one
     folder of feed files, the whole feed as a second; each is loaded by an
@@ -222,6 +235,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "k2_insert_if_absent": q_insert_if_absent,
         "k2_contact_two_loads": q_contact_two_loads,
         "st_stream_ingest": q_stream_ingest,
+        "s5_append_model": q_append_model,
         "k3_lookup_id": q_lookup_id,
         "k4_k7_violations": q_violations,
         "b1_associate": _table("associate"),
@@ -604,6 +618,7 @@ FROM (SELECT l_orderkey, l_linenumber,
         "k2_insert_if_absent": _insert_if_absent_sql(),
         "k2_contact_two_loads": _contact_two_loads_sql(),
         "st_stream_ingest": _insert_if_absent_sql(),
+        "s5_append_model": _contact_two_loads_sql(),
         "k3_lookup_id": _lookup_sql(),
         "k4_k7_violations": _violations_sql(),
         "w10_last_facility": _with(

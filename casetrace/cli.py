@@ -22,16 +22,14 @@ from casetrace.plans.model import build_model
 from casetrace.plans.reports import REPORTS, original_report
 from casetrace.session import build_session
 from casetrace.sources.case_feed import load_and_stage
-from casetrace.sources.tables import drop_model, drop_staging, read_model, write_model
+from casetrace.sources.tables import (append_model, drop_model, drop_staging, read_model,
+                                      write_model)
 
 
-def _coerce(value: str):
-    for cast in (int, float):
-        try:
-            return cast(value)
-        except ValueError:
-            pass
-    return value
+def _typed(value: str, parameter: inspect.Parameter):
+    """A text argument as the parameter's annotation says."""
+    kind = str(parameter.annotation)
+    return int(value) if "int" in kind else float(value) if "float" in kind else value
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -57,7 +55,6 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--original", action="store_true",
                    help="use the original program's literals for the report")
     p.add_argument("--out")
-    p.add_argument("--show", type=int, default=50)
     p = sub.add_parser("drop")
     p.add_argument("--database")
     p.add_argument("--staging")
@@ -73,7 +70,10 @@ def main(argv: list[str] | None = None) -> int:
         staged = spark.read.parquet(args.staged).drop("problems", "record")
         existing = read_model(spark, args.existing) if args.existing else None
         model = build_model(staged, existing, on_null=args.on_null)
-        write_model(model, args.model)
+        if existing is not None and args.existing.rstrip("/") == args.model.rstrip("/"):
+            append_model(model, existing, args.model)
+        else:
+            write_model(model, args.model)
         print({name: df.count() for name, df in read_model(spark, args.model).tables().items()})
     elif args.cmd == "check":
         violations(read_model(spark, args.model)).show(200, truncate=False)
@@ -88,11 +88,13 @@ def main(argv: list[str] | None = None) -> int:
         if args.original:
             df = original_report(model, args.name)
         else:
-            df = fn(model, **{k: _coerce(v) for k, v in params.items()})
+            df = fn(model, **{k: _typed(v, names[k]) for k, v in params.items()})
         if args.out:
             df.write.mode("overwrite").parquet(args.out)
         else:
-            df.show(args.show, truncate=False)
+            for row in df.toLocalIterator():
+                print("\t".join("" if v is None else str(v) for v in row))
+            print(f"{df.count()} rows")
     elif args.cmd == "drop":
         if args.staging:
             drop_staging(spark, args.staging, args.database)

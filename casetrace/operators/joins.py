@@ -1,80 +1,75 @@
 """Equi-joins where one key can be hot on both sides (J3 fan-out).
 
-Spark's adaptive execution splits skewed join partitions on its own when
-``spark.sql.adaptive.enabled`` and ``spark.sql.adaptive.skewJoin.enabled`` are
-on (the defaults).  ``fanout_join`` keeps a hot key from landing in one task
-when they are off:
+A hot key is a matter of the *rows it makes*, not of the bytes it reads: a name
+with 4,000 contacts and 4,000 bearers reads little and makes 16 million rows in
+one task.  Splitting by input size, as adaptive execution does, does not see
+it.  ``fanout_join`` therefore decides by counted pairs, in every session:
 
 1. count rows per key on both sides (hash aggregates with map-side combine);
-2. a key is hot when it would produce at least ``hot_pairs`` output rows - at
-   most (total output / ``hot_pairs``) keys qualify, and that table is
-   broadcast only after its row count is checked;
-3. rows of hot keys on the left get a bucket from a hash of the whole row
-   (deterministic, so a retried task puts every row in the same bucket); rows
-   of hot keys on the right are copied into every bucket; the join runs on
-   (key, bucket).  Every (left, right) pair still meets exactly once;
-4. all other keys join as usual.
+2. a key that makes more than ``pairs_per_task`` rows gets a grid of cells, as
+   many as its pairs need, cut along both sides in proportion to their rows;
+3. a left row of such a key takes one row of the grid by a hash of all its
+   columns, and is copied along the grid's columns; a right row the other way
+   round.  Every pair meets in exactly one cell, and a task gets a cell;
+4. without such a key the inputs are joined as they are.
+
+The counts of hot keys are frozen once; nothing is broadcast by hint.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_BUCKET = "__ct_bucket"
-_HOT = "__ct_hot"
+from casetrace.session import ensure_checkpoint_dir
 
+_ROW, _COLUMN = "__ct_row", "__ct_column"
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``
-    unchanged (a shuffle join).  Meant for materialised lookup tables such as
-    a K1 output: the check reads at most ``max_rows + 1`` rows."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
 
+def hot_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
+             pairs_per_task: int) -> DataFrame:
+    """Keys that make more than ``pairs_per_task`` rows, with the numbers of
+    ``rows`` and ``columns`` of their grid."""
+    ensure_checkpoint_dir(left.sparkSession)
+    n_left = left.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("__l"))
+    n_right = right.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("__r"))
+    cells = F.ceil(F.col("__l") * F.col("__r") / pairs_per_task)
+    rows = F.greatest(F.lit(1.0), F.least(
+        F.col("__l"), cells, F.ceil(F.sqrt(cells * F.col("__l") / F.col("__r")))))
+    return (n_left.join(n_right, list(keys))
+            .where(F.col("__l") * F.col("__r") > pairs_per_task)
+            .select(*[F.col(k).alias(k) for k in keys], rows.cast("long").alias("rows"),
+                    F.ceil(cells / rows).cast("long").alias("columns"))
+            .checkpoint(eager=True))
 
-def adaptive_skew_split_on(spark: SparkSession) -> bool:
-    """True when AQE will split skewed join partitions in this session."""
-    conf = spark.conf
-    return (conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
-            and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
 
+def _cells(df: DataFrame, hot: DataFrame, keys: list[str], own: str, other: str,
+           own_size: str, other_size: str) -> DataFrame:
+    """Rows with their place on the grid; keys that are not hot have one cell."""
+    sized = df.join(hot, keys, "left")
+    one = F.lit(1).cast("long")
+
+    def size(name: str) -> Column:
+        return F.coalesce(F.col(name), one)
+
+    return (sized.withColumn(own, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]),
+                                         size(own_size)))
+            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), size(other_size) - 1)))
+            .drop("rows", "columns"))
 
-def fanout_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                buckets: int = 32, hot_pairs: int = 10_000_000,
-                force_salt: bool | None = None) -> DataFrame:
-    """Inner join on ``keys`` that spreads hot keys over ``buckets`` tasks.
 
-    With ``force_salt=None`` the salted plan is used only when the session's
-    AQE skew split is off; ``True``/``False`` force either plan.
-    """
+def fanout_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
+                pairs_per_task: int = 1_000_000) -> DataFrame:
+    """Inner join on ``keys`` in which no key makes much more than
+    ``pairs_per_task`` rows in a task.  Both inputs are read twice, so pass
+    stored or frozen tables.  Repeated rows share a cell: distinct inputs split
+    best."""
     keys = list(keys)
-    salt = (not adaptive_skew_split_on(left.sparkSession)) if force_salt is None else force_salt
-    if not salt or buckets <= 1:
+    hot = hot_keys(left, right, keys, pairs_per_task)
+    if hot.isEmpty():
         return left.join(right, keys)
-
-    left_n = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__ct_l"))
-    right_n = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__ct_r"))
-    hot = broadcast_if_small(
-        left_n.join(right_n, keys)
-        .where(F.col("__ct_l") * F.col("__ct_r") >= F.lit(hot_pairs))
-        .select(*keys, F.lit(True).alias(_HOT)))
-
-    left_t = left.join(hot, keys, "left")
-    right_t = right.join(hot, keys, "left")
-    is_hot = F.coalesce(F.col(_HOT), F.lit(False))
-
-    cold = (left_t.where(~is_hot).drop(_HOT)
-            .join(right_t.where(~is_hot).drop(_HOT), keys))
-
-    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
-    hot_left = (left_t.where(is_hot).drop(_HOT)
-                .withColumn(_BUCKET, F.pmod(row_hash, F.lit(buckets))))
-    hot_right = (right_t.where(is_hot).drop(_HOT)
-                 .withColumn(_BUCKET, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-                 .withColumn(_BUCKET, F.col(_BUCKET).cast("long")))
-    split = hot_left.join(hot_right, keys + [_BUCKET]).drop(_BUCKET)
-    return cold.unionByName(split)
+    on_left = _cells(left, hot, keys, _ROW, _COLUMN, "rows", "columns")
+    on_right = _cells(right, hot, keys, _COLUMN, _ROW, "columns", "rows")
+    return on_left.join(on_right, [*keys, _ROW, _COLUMN]).drop(_ROW, _COLUMN)

@@ -131,7 +131,7 @@ def attach_person(staging: DataFrame, person: DataFrame) -> DataFrame:
     ``person_id``.  A (given, family, address) stored as several person
     variants matches each of them, as the model defines."""
     feed = staging.select(*PERSON_KEY, *KEYED_COLUMNS)
-    keyed = lookup_id(feed, person, PERSON_KEY, "person_id")
+    keyed = lookup_id(feed, person, PERSON_KEY, "person_id", split_hot=True)
     return keyed.drop(*PERSON_KEY)
 
 
@@ -141,7 +141,9 @@ def write_keyed(staging: DataFrame, person: DataFrame, path: str | None = None)
     lost executor costs nothing to recompute."""
     spark = staging.sparkSession
     path = path or scratch_path(spark, "keyed")
-    attach_person(staging, person).write.mode("overwrite").parquet(path)
+    # the builders read distinct projections, so repeated records go before the lookup
+    distinct = staging.select(*PERSON_KEY, *KEYED_COLUMNS).distinct().checkpoint(eager=True)
+    attach_person(distinct, person).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -187,10 +189,11 @@ def contact_rows(staging: DataFrame, person: DataFrame, associate: DataFrame) ->
     name, then fanned out to every person with that (given, family)."""
     seen = (staging.where(_not_null("contact_kind", "contact_from", "contact_to"))
             .select(*PERSON_NAME, *ASSOCIATE_KEY,
-                    F.col("contact_kind").alias("kind"), "contact_from", "contact_to"))
+                    F.col("contact_kind").alias("kind"), "contact_from", "contact_to")
+            .distinct())
     by_associate = (lookup_id(seen, associate, ASSOCIATE_KEY, "associate_id")
                     .drop(*ASSOCIATE_KEY)
-                    .distinct())
+                    .checkpoint(eager=True))
     persons = person.select("person_id", *[F.col(d).alias(s) for s, d in PERSON_NAME.items()])
     return (fanout_join(by_associate, persons, list(PERSON_NAME))
             .select("kind", "contact_from", "contact_to", "associate_id", "person_id"))
@@ -200,9 +203,8 @@ def build_contact(staging: DataFrame, person: DataFrame, associate: DataFrame,
                   existing: DataFrame | None = None) -> DataFrame:
     """A contact is attributed to every person sharing the recorded
     (given, family) - not only the one at the recorded address.  A name held
-    by very many persons makes both join sides hot; AQE's skew-join split
-    spreads it over tasks, or ``fanout_join`` salts it when the session has
-    that switched off (tests/test_skew.py)."""
+    by very many persons makes both join sides hot; ``fanout_join`` cuts its
+    pairs into cells whatever the session's settings (tests/test_skew.py)."""
     return _finish("contact", existing, contact_rows(staging, person, associate))
 
 

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from casetrace.functions.numbers import exact_percent
 from casetrace.functions.predicates import is_deceased
-from casetrace.operators.joins import broadcast_if_small
 from casetrace.operators.keys import assign_ids
 from casetrace.plans.model import Model
 
@@ -181,9 +180,9 @@ def extremes_by_month(m: Model, k: int = 10) -> DataFrame:
 def facility_share(m: Model) -> DataFrame:
     """Visits per facility and their share of all visits, in percent
     rounded half-up to 2 decimals."""
-    total = m.person_facility.select(F.count(F.lit(1))).scalar()
     per_facility = (m.person_facility.groupBy("facility_id")
                     .agg(F.count("person_id").alias("n")))
+    total = per_facility.agg(F.sum("n")).scalar()
     return (per_facility.join(m.facility, "facility_id")
             .select("name", "address", "n", exact_percent(F.col("n"), total).alias("pct"))
             .orderBy(F.desc("pct"), "name", "address"))
@@ -197,17 +196,10 @@ def last_facility(m: Model) -> DataFrame:
 def top_contact_kind(m: Model) -> DataFrame:
     """Each person's contact kind that sorts last (binary order).
 
-    ``max`` of a string cannot use a hash aggregate (its buffer is not fixed
-    width), so on its own it sorts every contact row.  Instead the distinct
-    kinds are numbered once in binary order (K1), broadcast when the count of
-    that materialised table is small (a shuffle join otherwise), the
-    per-person maximum of the number is a hash aggregate with map-side
-    combine, and the number maps back to the kind."""
-    kinds = broadcast_if_small(
-        assign_ids(m.contact.select("kind").distinct(), ["kind"], "kind_rank"))
-    best = (m.contact.select("person_id", "kind").join(kinds, "kind")
-            .groupBy("person_id").agg(F.max("kind_rank").alias("kind_rank")))
-    return best.join(kinds, "kind_rank").select("person_id", "kind")
+    The distinct (person, kind) pairs are a hash aggregate that combines on
+    the map side, so the string maximum sorts only those few."""
+    return (m.contact.select("person_id", "kind").distinct()
+            .groupBy("person_id").agg(F.max("kind").alias("kind")))
 
 
 def common_contact_by_facility(m: Model) -> DataFrame:
@@ -231,9 +223,8 @@ def common_contact_by_facility(m: Model) -> DataFrame:
 
 
 def with_row_count(df: DataFrame) -> tuple[DataFrame, int]:
-    """Result rows plus their number (one action)."""
-    cached = df.cache()
-    return cached, cached.count()
+    """Result rows plus their number; nothing stays cached."""
+    return df, df.count()
 
 
 def original_report(m: Model, name: str) -> DataFrame:

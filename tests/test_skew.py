@@ -1,73 +1,68 @@
-"""A name held by very many persons: the contact fan-out join is split by AQE."""
+"""A name held by very many persons: the contact fan-out is cut by counted pairs,
+under the session's stock settings."""
 
+from pyspark.sql import functions as F
+
+from casetrace.operators.joins import fanout_join, hot_keys
 from casetrace.plans.model import build_associate, build_person, contact_rows
 
 from conftest import d, records
 
-SKEW_CONF = {
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
-    "spark.sql.adaptive.coalescePartitions.enabled": "false",
-}
-
 
-def test_hot_name_is_split_and_result_is_whole(spark):
+def test_hot_name_is_whole(spark):
     hot = [{"person_given": "Hot", "person_family": "Name", "person_address": f"A{i}",
             "contact_from": d("2020-01-01"), "contact_to": d("2020-01-01"),
             "contact_kind": f"k{i % 7}", "associate_given": f"S{i % 5}"}
            for i in range(300)]
     cold = [{"person_given": f"P{i}", "person_address": f"B{i}"} for i in range(60)]
     feed = records(spark, *hot, *cold).repartition(8)
-    person = build_person(feed)
-    associate = build_associate(feed)
-    saved = {k: spark.conf.get(k) for k in SKEW_CONF}
-    for k, v in SKEW_CONF.items():
-        spark.conf.set(k, v)
-    try:
-        rows = contact_rows(feed, person, associate)
-        n = len(rows.collect())
-        plan = rows._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in saved.items():
-            spark.conf.set(k, v)
+    rows = contact_rows(feed, build_person(feed), build_associate(feed))
     # every hot person gets every distinct hot contact (7 kinds x 5 associates
     # seen together: i % 7 and i % 5 give 35 pairs); every cold person its own
-    assert n == 300 * 35 + 60
-    assert "skew=true" in plan
+    assert rows.count() == 300 * 35 + 60
 
 
-def test_salted_fanout_matches_plain_join(spark):
-    from casetrace.operators.joins import fanout_join
-    left = spark.createDataFrame(
-        [("hot", f"c{i}") for i in range(40)] + [("cold", "c0"), ("lone", "x")],
-        "name string, contact string")
-    right = spark.createDataFrame(
-        [("hot", i) for i in range(25)] + [("cold", 100), ("cold", 101), (None, 7)],
-        "name string, person int")
-    plain = sorted(map(tuple, fanout_join(left, right, ["name"], force_salt=False)
-                       .select("name", "contact", "person").collect()))
-    salted_df = fanout_join(left, right, ["name"], buckets=4, hot_pairs=100, force_salt=True)
-    salted = sorted(map(tuple, salted_df.select("name", "contact", "person").collect()))
-    assert salted == plain
-    assert len(plain) == 40 * 25 + 2
+def _sides(spark, n_left, n_right):
+    left = spark.range(n_left).select(F.lit("hot").alias("name"), F.col("id").alias("contact"))
+    right = spark.range(n_right).select(F.lit("hot").alias("name"), F.col("id").alias("person"))
+    cold = spark.range(50).select(F.concat(F.lit("c"), "id").alias("name"),
+                                  F.col("id").alias("x"))
+    return (left.unionByName(cold.withColumnRenamed("x", "contact")),
+            right.unionByName(cold.withColumnRenamed("x", "person")))
 
 
-def test_contact_rows_salted_when_aqe_skew_split_is_off(spark):
-    hot = [{"person_given": "Hot", "person_family": "Name", "person_address": f"A{i}",
-            "contact_kind": f"k{i % 7}", "associate_given": f"S{i % 5}"} for i in range(60)]
-    feed = records(spark, *hot, *[{"person_given": f"P{i}"} for i in range(10)])
-    person, associate = build_person(feed), build_associate(feed)
-    want = sorted(map(repr, contact_rows(feed, person, associate).collect()))
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+def test_split_join_equals_plain_join(spark):
+    left, right = _sides(spark, 40, 25)
+    left = left.unionByName(spark.createDataFrame([(None, 7), ("lone", 8)], "name string, contact long"))
+    right = right.unionByName(spark.createDataFrame([(None, 9)], "name string, person long"))
+    plain = sorted(map(tuple, left.join(right, "name").collect()))
+    split = sorted(map(tuple, fanout_join(left, right, ["name"], pairs_per_task=90).collect()))
+    assert split == plain and len(plain) == 40 * 25 + 50
+
+
+def test_lopsided_hot_key_is_whole(spark):
+    left, right = _sides(spark, 1, 3000)
+    assert fanout_join(left, right, ["name"], pairs_per_task=100).count() == 3050
+
+
+def test_hot_pairs_are_spread_under_stock_settings(spark):
+    """The largest task holds a small share of one hot name's pairs."""
+    left, right = _sides(spark, 1000, 1000)
+    saved = {k: spark.conf.get(k, None) for k in (
+        "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold",
+        "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        got_df = contact_rows(feed, person, associate)
-        got = sorted(map(repr, got_df.collect()))
-        plan = got_df._jdf.queryExecution().optimizedPlan().toString()
+        grid = hot_keys(left, right, ["name"], 10_000).first()
+        per_task = [r["count"] for r in fanout_join(left, right, ["name"], pairs_per_task=10_000)
+                    .groupBy(F.spark_partition_id()).count().collect()]
     finally:
-        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    assert got == want
-    assert "xxhash64" in plan
+        for k, v in saved.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert grid["rows"] * grid["columns"] == 100
+    assert sum(per_task) == 1_000_000 + 50
+    assert max(per_task) < 200_000

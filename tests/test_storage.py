@@ -65,3 +65,18 @@ def test_on_null_modes(spark):
     assert build_model(feed, on_null="drop").person_treatment.count() == 1
     with pytest.raises(ModelError):
         build_model(feed, on_null="fail")
+
+
+def test_append_in_place_and_refused_overwrite(spark, scratch):
+    import pytest
+    from casetrace.plans.model import build_model
+    from casetrace.sources.tables import append_model, read_model, write_model
+    from conftest import records
+    write_model(build_model(records(spark, {}, {"person_given": "Bea"})), f"{scratch}/m")
+    stored = read_model(spark, f"{scratch}/m")
+    model = build_model(records(spark, {}, {"person_given": "Eva"}), existing=stored)
+    with pytest.raises(ValueError):
+        write_model(model, f"{scratch}/m")
+    assert append_model(model, stored, f"{scratch}/m")["person"] == 1
+    got = read_model(spark, f"{scratch}/m").person.collect()
+    assert sorted((r.person_id, r.given) for r in got) == [(1, "Ana"), (2, "Bea"), (3, "Eva")]

@@ -51,3 +51,27 @@ def test_empty_batch_then_data(spark, scratch):
     assert all(n == 0 for n in again.values())
     got = read_appended_model(spark, f"{scratch}/model")
     assert sorted(r.person_id for r in got.person.collect()) == [1, 2]
+
+
+def test_batch_without_contacts_then_with(spark, scratch):
+    from casetrace.sources.case_feed import to_feed_text
+    from casetrace.streaming import append_batch
+    plain = to_feed_text(records(spark, {"contact_kind": None}), original_header=False)
+    assert append_batch(plain, f"{scratch}/model", 0)["contact"] == 0
+    full = to_feed_text(records(spark, {"person_given": "Eva"}), original_header=False)
+    assert append_batch(full, f"{scratch}/model", 1)["contact"] == 1
+    assert read_appended_model(spark, f"{scratch}/model").contact.count() == 1
+
+
+def test_swapped_columns_and_rejected_values(spark, scratch):
+    import os
+    os.makedirs(f"{scratch}/in")
+    for name, text in (("a", "person_given,person_family,met_on\nAna,Ruiz,01/02/2020 00:00\n"),
+                       ("b", "person_family,person_given,met_on\nLee,Bo,2020\n")):
+        with open(f"{scratch}/in/{name}.csv", "w") as f:
+            f.write(text)
+    start_ingest(spark, f"{scratch}/in", f"{scratch}/model",
+                 checkpoint_location=f"{scratch}/ck").awaitTermination()
+    rejected = spark.read.parquet(f"{scratch}/model/_rejected").collect()
+    assert [(r.column_name, r.raw_value) for r in rejected] == [("met_on", "2020")]
+    assert '"person_given":"Bo"' in rejected[0].record
