@@ -174,3 +174,14 @@ def classify(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Dat
     """``docs`` (with the ``f_...`` columns) with ``score`` and ``predicted``."""
     return (docs.drop("score", "predicted").withColumn("score", score_column(model))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
+
+
+def keep(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` (without the ``f_...`` columns) that score ``threshold`` or
+    more, with their columns.  The row number keeps the filter above the
+    statistics; pushed below them it would repeat every expression it is made
+    of, inside the scoring function's arguments."""
+    numbered = with_features(docs).withColumn("__row", F.monotonically_increasing_id())
+    scored = numbered.withColumn("score", score_column(model))
+    return scored.where((F.col("score") >= threshold) & (F.col("__row") >= 0)).select(
+        *docs.columns)
