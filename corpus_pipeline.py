@@ -30,12 +30,10 @@ ORACLE_SQL = None
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the classifier scores below its threshold.  It
     learns from the labels of documents that op3 does not hold out."""
-    featured = classifier.with_features(docs)
-    usable = featured.where(~held_out(F.col("doc_id"), 5, 0))
+    usable = classifier.with_features(docs.where(~held_out(F.col("doc_id"), 5, 0)))
     model = classifier.fit(classifier.with_label(usable, table(spark, sf_dir, "labels"),
                                                  "quality"))
-    return (classifier.classify(featured, model).where(F.col("predicted") == 1)
-            .select(*docs.columns))
+    return classifier.keep(docs, model)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
