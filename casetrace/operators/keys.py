@@ -3,18 +3,20 @@
 ``assign_ids`` numbers rows 1..n in a total order without a single-partition
 exchange:
 
-1. range-partition on the order columns and sort within partitions, so
-   partition *i* holds keys that all sort before partition *i+1*;
-2. ``checkpoint()`` that into the shared checkpoint folder, so the partition
-   boundaries (chosen by sampling) are fixed and survive executor loss;
+1. write the rows once into the shared scratch folder: a range exchange reads
+   its input twice (to sample boundaries, then to deal rows), and what stands
+   below must not be computed twice;
+2. range-partition on the order columns and sort within partitions, so
+   partition *i* holds keys that all sort before partition *i+1*; write that as
+   parquet with the partition and the position of each row, so both are fixed
+   and survive executor loss, and later reads take only their columns;
 3. count rows per partition (one row per partition) and turn the counts into
    running offsets - a table with as many rows as there are partitions, the
    only thing that is broadcast;
 4. id = start + offset(partition) + position inside the partition.
 
 The position comes from ``monotonically_increasing_id`` (partition id in the
-upper 31 bits, row position in the lower 33) read on the checkpointed rows, so
-every re-computation gives the same ids.
+upper 31 bits, row position in the lower 33).
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casetrace.operators.joins import fanout_join
-from casetrace.session import ensure_checkpoint_dir
+from casetrace.session import scratch_path
 
 _PID = "__ct_pid"
 _POS = "__ct_pos"
@@ -37,6 +39,13 @@ def _order(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in cols]
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once, as parquet in the shared scratch folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def assign_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str = "id",
                start: int | Column = 0, num_partitions: int | None = None) -> DataFrame:
     """Add ``id_col`` = start + 1 .. start + n following ``order_cols``.
@@ -45,25 +54,15 @@ def assign_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str =
     fixed order).  ``start`` may be a scalar-subquery column such as the
     current maximum id of the target table.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     order = _order(order_cols)
     # Without an explicit count the range exchange uses the session's shuffle
     # partitions and AQE merges adjacent small ranges (order is kept), so a
     # 25-row table does not become thousands of empty partitions.
-    # Fresh column identities before freezing: a checkpoint keeps the
-    # attribute ids of its input, and a frozen copy that shared them could not
-    # be joined back to the frame it was derived from.
-    fresh = df.select(*[F.col(c).alias(c) for c in df.columns])
-    ranged = (fresh.repartitionByRange(num_partitions, *order) if num_partitions
-              else fresh.repartitionByRange(*order)).sortWithinPartitions(*order)
-    frozen = ranged.checkpoint(eager=True)
-
-    tagged = frozen.select(
-        "*",
-        F.spark_partition_id().alias(_PID),
-        F.monotonically_increasing_id().alias(_POS),
-    )
+    once = _written(df, "unordered")
+    ranged = (once.repartitionByRange(num_partitions, *order) if num_partitions
+              else once.repartitionByRange(*order)).sortWithinPartitions(*order)
+    tagged = _written(ranged.select("*", F.spark_partition_id().alias(_PID),
+                                    F.monotonically_increasing_id().alias(_POS)), "ordered")
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
     running = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PID, F.coalesce(F.sum(_CNT).over(running), F.lit(0)).alias(_OFF))
