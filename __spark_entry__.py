@@ -28,22 +28,25 @@ from casetrace.functions.numbers import parse_score  # noqa: E402
 from casetrace.operators.keys import assign_ids  # noqa: E402
 from casetrace.operators.quality import violations  # noqa: E402
 from casetrace.plans import reports as R  # noqa: E402
-from casetrace.plans.model import Model, attach_person, build_model, build_person  # noqa: E402
+from casetrace.plans.model import (Model, attach_person, build_facility, build_model,  # noqa: E402
+                                   build_person, build_person_treatment, build_treatment)
 from casetrace.schema import (CASE_RECORD_COLUMNS, DATE_COLUMNS, FOREIGN_KEYS,  # noqa: E402
                               ID_COLUMN, INSERT_KEY, LENGTH_LIMITS, MODEL_SCHEMAS)
 from casetrace.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
 from casetrace.sources.case_feed import (clean_case_records, load_and_stage,  # noqa: E402
                                          load_case_records, read_case_records, to_feed_text,
                                          write_case_feed)
-from casetrace.sources.fixtures import case_records_from_tables  # noqa: E402
+from casetrace.sources.fixtures import (FIXTURE_PARAMETERS, case_records_from_tables,  # noqa: E402
+                                        fixture_report)
 from casetrace.sources.tables import append_model, read_model, write_model  # noqa: E402
 from casetrace.streaming.ingest import read_appended_model, start_ingest  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
-P = R.FIXTURE_PARAMETERS
 # First of two loads in the insert-if-absent checks: the test feed's orders run
 # from 1995-01-01 to 2001-08-01, so this splits it roughly in half.
 SPLIT_DATE = "1998-01-01"
+# Added to a foreign key it points beyond every parent.
+ORPHAN = 10**12
 
 # ---------------------------------------------------------------------------
 # Spark side
@@ -68,7 +71,7 @@ def _model(spark: SparkSession, sf_dir: str) -> Model:
 
 
 def _report(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: R.REPORTS[name](_model(spark, sf_dir))
+    return lambda spark, sf_dir: fixture_report(_model(spark, sf_dir), name)
 
 
 def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -188,6 +191,67 @@ def q_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return violations(_model(spark, sf_dir))
 
 
+def _broken(m: Model) -> Model:
+    """The model with violations planted by row id: NULLs in every required
+    column, over-long texts, keys without a parent, rows twice."""
+    out = {}
+    for name, df in m.tables().items():
+        key = F.col(ID_COLUMN[name])
+        cols = []
+        for i, f in enumerate(MODEL_SCHEMAS[name].fields):
+            c = F.col(f.name)
+            if (name, f.name) in LENGTH_LIMITS:
+                c = F.when(key % 5 == 1, F.repeat(c, F.lit(200))).otherwise(c)
+            if any(fk[:2] == (name, f.name) for fk in FOREIGN_KEYS):
+                c = F.when(key % 4 == 3, c + ORPHAN).otherwise(c)
+            if not f.nullable:
+                c = F.when(key % (i + 5) != 0, c)
+            cols.append(c.alias(f.name))
+        out[name] = df.select(*cols).unionByName(df.where(key % 6 == 2).select(*cols))
+    return Model(**out)
+
+
+def q_broken_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4-K7 on a model that breaks every kind of rule."""
+    return violations(_broken(_model(spark, sf_dir)))
+
+
+def _variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with persons told apart by customer and place only, so that a
+    person has a variant per order, and with a facility address per year: the
+    split of two loads cuts through persons and facilities."""
+    return (_staging(spark, sf_dir).withColumn("person_address", F.col("stay_address"))
+            .withColumn("facility_address", F.concat(
+                F.col("facility_address"), F.lit("-"), F.year("suspected_on").cast("string"))))
+
+
+def _early(feed: DataFrame) -> DataFrame:
+    return feed.where(F.col("suspected_on") < F.lit(SPLIT_DATE).cast("date"))
+
+
+def q_variant_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: later variants of a present (given, family, address) stay out."""
+    st = _variants(spark, sf_dir)
+    return build_person(st, existing=build_person(_early(st)))
+
+
+def q_variant_facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: later addresses of a present facility name stay out."""
+    st = _variants(spark, sf_dir)
+    return build_facility(st, existing=build_facility(_early(st)))
+
+
+def q_variant_treatments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: later rows of a present (person, treatment) stay out."""
+    st = _variants(spark, sf_dir)
+    person = treatment = given = None
+    for feed in (_early(st), st):
+        person = build_person(feed, person)
+        treatment = build_treatment(feed, treatment)
+        given = build_person_treatment(attach_person(feed, person), treatment, given)
+    return given
+
+
 def q_last_facility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.last_facility(_model(spark, sf_dir))
 
@@ -199,8 +263,8 @@ def q_top_contact_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_result_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row count of every report."""
     m = _model(spark, sf_dir)
-    parts = [f(m).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("report"), "n")
-             for name, f in R.REPORTS.items()]
+    parts = [fixture_report(m, name).agg(F.count(F.lit(1)).alias("n"))
+             .select(F.lit(name).alias("report"), "n") for name in R.REPORTS]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -238,6 +302,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "s5_append_model": q_append_model,
         "k3_lookup_id": q_lookup_id,
         "k4_k7_violations": q_violations,
+        "k4_k7_broken_model": q_broken_model,
+        "k2_variant_persons": q_variant_persons,
+        "k2_variant_facilities": q_variant_facilities,
+        "k2_variant_treatments": q_variant_treatments,
         "b1_associate": _table("associate"),
         "b2_person": _table("person"),
         "b3_facility": _table("facility"),
@@ -409,7 +477,8 @@ def _treated(description: str, extra: str = "") -> str:
       SELECT treatment_id FROM treatment WHERE description = '{description}'){extra}"""
 
 
-DEAD = f"(status = '{P['deceased_status']}' OR died_on IS NOT NULL)"
+P = FIXTURE_PARAMETERS
+DEAD = f"(status = '{P['r1']['status']}' OR died_on IS NOT NULL)"
 TWICE_TREATED = """SELECT person_id FROM (
     SELECT person_id, len(list(treatment_id)) AS n FROM person_treatment GROUP BY person_id)
   WHERE n = 2"""
@@ -422,7 +491,7 @@ JOIN (SELECT person_id, coalesce({DEAD}, FALSE) AS gone FROM person) USING (pers
 GROUP BY facility_id, name, facility.address""",
     "r2_persons_by_treatment_score": f"""
 SELECT given, family FROM person
-SEMI JOIN ({_treated(P["score_treatment"], " AND person_score > 5")}) USING (person_id)
+SEMI JOIN ({_treated(P["r2"]["description"], " AND person_score > 5")}) USING (person_id)
 GROUP BY given, family""",
     "r3_deceased_with_many_associates": f"""
 SELECT given, family, address FROM person
@@ -431,19 +500,19 @@ SEMI JOIN (SELECT person_id FROM acquaintance
 WHERE {DEAD} GROUP BY given, family, address""",
     "r4_contacts_by_kind": f"""
 SELECT given, family FROM person
-SEMI JOIN (SELECT person_id FROM contact WHERE kind = '{P["contact_kind"]}'
+SEMI JOIN (SELECT person_id FROM contact WHERE kind = '{P["r4"]["kind"]}'
            QUALIFY dense_rank() OVER (PARTITION BY person_id ORDER BY associate_id) = 3)
   USING (person_id)
-WHERE status = '{P["suspended_status"]}' GROUP BY given, family""",
+WHERE status = '{P["r4"]["status"]}' GROUP BY given, family""",
     "r5_top_persons_by_treatment": f"""
 SELECT given, family, address, n FROM person
-JOIN (SELECT person_id, count(*) AS n FROM ({_treated(P["top_treatment"])}) GROUP BY person_id)
+JOIN (SELECT person_id, count(*) AS n FROM ({_treated(P["r5"]["description"])}) GROUP BY person_id)
   USING (person_id)
 ORDER BY n DESC, given, family, address LIMIT 5""",
     "r6_persons_by_location_and_treatment": f"""
 SELECT given, family, died_on FROM person
-SEMI JOIN (SELECT person_id FROM person_stay WHERE address = '{P["stay_address"]}'
-           INTERSECT {_treated(P["stay_treatment"])}) USING (person_id)
+SEMI JOIN (SELECT person_id FROM person_stay WHERE address = '{P["r6"]["address"]}'
+           INTERSECT {_treated(P["r6"]["description"])}) USING (person_id)
 GROUP BY given, family, died_on""",
     "r7a_persons_with_n_treatments": f"""
 SELECT given, family, address FROM person SEMI JOIN ({TWICE_TREATED}) USING (person_id)""",
@@ -563,32 +632,87 @@ def _lookup_sql() -> str:
        met_on, person_id FROM keyed""", ("person",))
 
 
-def _violations_sql() -> str:
+def _violations_sql(suffix: str = "", planted: str = "") -> str:
     parts = []
     for table, schema in MODEL_SCHEMAS.items():
         for f in schema.fields:
             if not f.nullable:
                 parts.append(f"SELECT '{table}' AS table_name, 'not_null' AS rule, "
                              f"'{f.name}' AS column_name, CAST(COUNT(*) FILTER "
-                             f"(WHERE {f.name} IS NULL) AS BIGINT) AS n FROM {table}")
+                             f"(WHERE {f.name} IS NULL) AS BIGINT) AS n FROM {table}{suffix}")
             limit = LENGTH_LIMITS.get((table, f.name))
             if limit is not None:
                 parts.append(f"SELECT '{table}', 'max_length', '{f.name}', CAST(COUNT(*) "
                              f"FILTER (WHERE strlen({f.name}) > {limit}) AS BIGINT) "
-                             f"FROM {table}")
+                             f"FROM {table}{suffix}")
         pk = ID_COLUMN[table]
         parts.append(f"SELECT '{table}', 'primary_key', '{pk}', CAST(COUNT(*) AS BIGINT) "
-                     f"FROM (SELECT {pk} FROM {table} GROUP BY {pk} HAVING COUNT(*) > 1) d")
+                     f"FROM (SELECT {pk} FROM {table}{suffix} GROUP BY {pk} HAVING COUNT(*) > 1) d")
     for table in ("associate", "person", "facility", "treatment"):
         key = ", ".join(INSERT_KEY[table])
         parts.append(f"SELECT '{table}', 'natural_key', '{','.join(INSERT_KEY[table])}', "
-                     f"CAST(COUNT(*) AS BIGINT) FROM (SELECT {key} FROM {table} "
+                     f"CAST(COUNT(*) AS BIGINT) FROM (SELECT {key} FROM {table}{suffix} "
                      f"GROUP BY {key} HAVING COUNT(*) > 1) d")
     for child, col, parent, pcol in FOREIGN_KEYS:
         parts.append(f"SELECT '{child}', 'foreign_key', '{col}', CAST(COUNT(*) AS BIGINT) "
-                     f"FROM {child} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
-                     f"(SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col})")
-    return _with("\nUNION ALL\n".join(parts))
+                     f"FROM {child}{suffix} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+                     f"(SELECT 1 FROM {parent}{suffix} p WHERE p.{pcol} = c.{col})")
+    return _with(planted + "\nUNION ALL\n".join(parts))
+
+
+def _broken_sql() -> str:
+    ctes = ""
+    for table, schema in MODEL_SCHEMAS.items():
+        key = f"t.{ID_COLUMN[table]}"
+        shown = []
+        for i, f in enumerate(schema.fields):
+            c = f"t.{f.name}"
+            if (table, f.name) in LENGTH_LIMITS:
+                c = f"if({key} % 5 = 1, repeat({c}, 200), {c})"
+            if any(fk[:2] == (table, f.name) for fk in FOREIGN_KEYS):
+                c = f"{c} + if({key} % 4 = 3, {ORPHAN}, 0)"
+            if not f.nullable:
+                c = f"if({key} % {i + 5} = 0, NULL, {c})"
+            shown.append(f"{c} AS {f.name}")
+        ctes += (f", {table}_broken AS (SELECT {', '.join(shown)} FROM {table} t, "
+                 f"LATERAL (SELECT unnest(if({key} % 6 = 2, [1, 2], [1])) AS nth) d)\n")
+    return _violations_sql("_broken", ctes)
+
+
+VARIANT_SQL = STAGING_SQL.replace("staging AS", "plain AS", 1) + """, staging AS (
+  SELECT * REPLACE (stay_address AS person_address,
+    concat(facility_address, '-', CAST(year(suspected_on) AS VARCHAR)) AS facility_address)
+  FROM plain
+)"""
+
+
+def _variants_sql(table: str) -> str:
+    """One table after two loads of the feed with variants."""
+    facility = _two_loads("facility", "facility_id", {
+        "name": "facility_name", "address": "facility_address"}, ["name"])
+    treatment = _two_loads("treatment", "treatment_id", {
+        "description": "treatment", "score": "treatment_score"}, ["description", "score"])
+    body = {
+        "person": f"SELECT person_id, {', '.join(PERSON_COLUMNS)} FROM person2",
+        "facility": "SELECT facility_id, name, address FROM facility2",
+        "person_treatment": f"""
+, given AS (
+  SELECT s.person_score, s.treated_from, s.treated_to, treatment_id, person_id,
+         bool_or(coalesce(s.suspected_on < DATE '{SPLIT_DATE}', FALSE)
+                 AND p.early AND t.early) AS known
+  FROM staging s
+  JOIN person2 p ON (person_given, person_family, person_address) = (p.given, p.family, p.address)
+  JOIN treatment2 t ON treatment = t.description
+  GROUP BY ALL
+), added AS (
+  SELECT * FROM given
+  QUALIFY known OR NOT bool_or(known) OVER (PARTITION BY person_id, treatment_id)
+)
+SELECT row_number() OVER (ORDER BY known DESC, person_id, treatment_id, person_score NULLS FIRST,
+                          treated_from NULLS FIRST, treated_to NULLS FIRST) AS id,
+       person_score, treated_from, treated_to, treatment_id, person_id
+FROM added"""}[table]
+    return f"WITH {VARIANT_SQL}, {PERSON_TWICE}, {facility}, {treatment}\n{body}"
 
 
 def _result_rows_sql() -> str:
@@ -621,6 +745,10 @@ FROM (SELECT l_orderkey, l_linenumber,
         "s5_append_model": _contact_two_loads_sql(),
         "k3_lookup_id": _lookup_sql(),
         "k4_k7_violations": _violations_sql(),
+        "k4_k7_broken_model": _broken_sql(),
+        "k2_variant_persons": _variants_sql("person"),
+        "k2_variant_facilities": _variants_sql("facility"),
+        "k2_variant_treatments": _variants_sql("person_treatment"),
         "w10_last_facility": _with(
             "SELECT person_id, max(facility_id) AS facility_id FROM person_facility "
             "GROUP BY person_id"),

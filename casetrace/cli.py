@@ -84,6 +84,10 @@ def main(argv: list[str] | None = None) -> int:
         unknown = set(params) - set(names)
         if unknown:
             ap.error(f"unknown parameters for {args.name}: {sorted(unknown)}")
+        missing = [n for n, p in names.items()
+                   if p.default is p.empty and n != "m" and n not in params]
+        if missing and not args.original:
+            ap.error(f"{args.name} needs --param or --original for: {missing}")
         model = read_model(spark, args.model)
         if args.original:
             df = original_report(model, args.name)

@@ -1,8 +1,8 @@
 """Parameterised reports over the model.
 
-Literals of the original reports are parameters; their defaults are the
-values that make sense on the fixture feed (the original's own literals are
-in ``ORIGINAL_PARAMETERS``).  Every report returns a lazy DataFrame.
+Literals of the original reports are required parameters (the original's own
+literals are in ``ORIGINAL_PARAMETERS``); thresholds default to its numbers.
+Every report returns a lazy DataFrame.
 
 Shapes used throughout: aggregate the big bridge table on its key *before*
 joining the dimension (the join then sees one row per group); use semi/anti
@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from casetrace.functions.numbers import exact_percent
 from casetrace.functions.predicates import is_deceased
-from casetrace.operators.keys import assign_ids
 from casetrace.plans.model import Model
 
 # The literals of the original reports.
@@ -33,23 +32,12 @@ ORIGINAL_PARAMETERS = {
     "stay_treatment": "Manejo de la presion arterial",
 }
 
-# Parameters for the fixture feed built from the TPC-H style tables.
-FIXTURE_PARAMETERS = {
-    "deceased_status": "deceased",
-    "suspended_status": "suspended",
-    "contact_kind": "A",
-    "score_treatment": "PROMO",
-    "top_treatment": "PROMO",
-    "stay_address": "LOC-7",
-    "stay_treatment": "PROMO",
-}
-
 
 def _treatment_ids(m: Model, description: str) -> DataFrame:
     return m.treatment.where(F.col("description") == description).select("treatment_id")
 
 
-def deaths_by_facility(m: Model, status: str = FIXTURE_PARAMETERS["deceased_status"]) -> DataFrame:
+def deaths_by_facility(m: Model, status: str) -> DataFrame:
     """Per facility, persons who died (by status or date).  Facilities
     with visits but no deaths show 0; a person counts once per facility."""
     dead = m.person.select("person_id", is_deceased(status).alias("dead"))
@@ -61,7 +49,7 @@ def deaths_by_facility(m: Model, status: str = FIXTURE_PARAMETERS["deceased_stat
             .orderBy("name", "address"))
 
 
-def persons_by_treatment_score(m: Model, description: str = FIXTURE_PARAMETERS["score_treatment"],
+def persons_by_treatment_score(m: Model, description: str,
                                min_score: int = 5) -> DataFrame:
     """R2: distinct (given, family) of persons whose own score for the
     treatment is above ``min_score``."""
@@ -73,7 +61,7 @@ def persons_by_treatment_score(m: Model, description: str = FIXTURE_PARAMETERS["
             .orderBy("given", "family"))
 
 
-def deceased_with_many_associates(m: Model, status: str = FIXTURE_PARAMETERS["deceased_status"],
+def deceased_with_many_associates(m: Model, status: str,
                                   min_associates: int = 3) -> DataFrame:
     """Deceased persons known to more than ``min_associates`` associates;
     distinct (given, family, address)."""
@@ -86,8 +74,8 @@ def deceased_with_many_associates(m: Model, status: str = FIXTURE_PARAMETERS["de
             .orderBy("given", "family", "address"))
 
 
-def contacts_by_kind(m: Model, status: str = FIXTURE_PARAMETERS["suspended_status"],
-                     kind: str = FIXTURE_PARAMETERS["contact_kind"],
+def contacts_by_kind(m: Model, status: str,
+                     kind: str,
                      min_associates: int = 2) -> DataFrame:
     """Persons with ``status`` who had a ``kind`` contact with more than
     ``min_associates`` distinct associates; distinct (given, family)."""
@@ -100,7 +88,7 @@ def contacts_by_kind(m: Model, status: str = FIXTURE_PARAMETERS["suspended_statu
             .select("given", "family").distinct())
 
 
-def top_persons_by_treatment(m: Model, description: str = FIXTURE_PARAMETERS["top_treatment"],
+def top_persons_by_treatment(m: Model, description: str,
                              k: int = 5) -> DataFrame:
     """The ``k`` persons with most rows of one treatment (top-k: each
     task keeps its best ``k``, the driver merges ``k`` per task)."""
@@ -113,8 +101,8 @@ def top_persons_by_treatment(m: Model, description: str = FIXTURE_PARAMETERS["to
 
 
 def persons_by_location_and_treatment(
-        m: Model, address: str = FIXTURE_PARAMETERS["stay_address"],
-        description: str = FIXTURE_PARAMETERS["stay_treatment"]) -> DataFrame:
+        m: Model, address: str,
+        description: str) -> DataFrame:
     """Persons who stayed at ``address`` and received ``description``;
     distinct (given, family, died_on).  Two semi joins instead of the
     stay x treatment product per person; their right sides are distinct

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casetrace.plans.model import Model
+from casetrace.plans.reports import REPORTS
 from casetrace.schema import CASE_RECORDS_SCHEMA
 
 TPCH_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
@@ -85,3 +87,19 @@ def case_records_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     return rows.select(*[cols[f.name].cast(f.dataType).alias(f.name)
                          for f in CASE_RECORDS_SCHEMA.fields])
+
+
+# Report parameters that fit this feed.
+FIXTURE_PARAMETERS = {
+    "r1": {"status": "deceased"},
+    "r2": {"description": "PROMO"},
+    "r3": {"status": "deceased"},
+    "r4": {"status": "suspended", "kind": "A"},
+    "r5": {"description": "PROMO"},
+    "r6": {"address": "LOC-7", "description": "PROMO"},
+}
+
+
+def fixture_report(m: Model, name: str) -> DataFrame:
+    """Report ``name`` with the parameters that fit this feed."""
+    return REPORTS[name](m, **FIXTURE_PARAMETERS.get(name, {}))

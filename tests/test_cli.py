@@ -1,3 +1,5 @@
+import pytest
+
 from casetrace.cli import main
 from casetrace.sources.case_feed import write_case_feed
 from casetrace.sources.tables import read_model
@@ -16,3 +18,8 @@ def test_cli_load_build_report(spark, scratch, capsys):
     assert spark.read.parquet(f"{scratch}/r5").count() == 1
     out = capsys.readouterr().out
     assert "North" in out
+
+
+def test_cli_report_literals_are_required(spark, scratch):
+    with pytest.raises(SystemExit):
+        main(["report", "r1", "--model", f"{scratch}/none"])
