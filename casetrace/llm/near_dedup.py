@@ -10,8 +10,9 @@ sets:
    place keeps its least proposal.  Rounds stop as soon as no later proposal
    can win, so a long text needs only a few;
 2. banding: signature rows are hashed in bands; sets that share a band meet.
-   With 24 bands of 6 rows a pair at 0.85 is missed with a probability of
-   about 1e-5;
+   The bands fit the threshold (``banding``): a pair right at it is missed
+   with a probability of about 1e-5, with 24 bands of 6 rows at 85 per cent
+   and 29 of 5 at 80;
 3. inside a bucket signatures are compared, and sets that look at least
    ``margin`` below the threshold are chained to clusters (a bucket larger
    than ``block`` is compared block against block, in separate tasks);
@@ -29,7 +30,9 @@ read whole; other columns travel along unless named like the output.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -44,8 +47,9 @@ from casetrace.llm.words import (find_words, hash_spans, lower_ascii, mix, shing
                                  text_slices)
 
 SHINGLE = 5
-BANDS, ROWS = 24, 6
-PERCENT = 85
+PERCENT = 85  # where the caller names no other threshold
+MISSED = 1e-5
+PLACES = 160
 MARGIN = 0.15
 BLOCK = 256
 _CHUNK = 65_536
@@ -55,6 +59,16 @@ FEATURES = struct(("doc_id", T.LongType()), ("n_shingles", T.LongType()), ("c",
                   ("bands", T.ArrayType(T.LongType())), ("signature", T.BinaryType()))
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, rows): the most selective bands of at most ``PLACES`` rows in
+    all that miss a pair at ``percent`` with a probability of about ``MISSED``."""
+    for rows in range(8, 0, -1):
+        bands = max(1, round(math.log(MISSED) / math.log1p(-min(percent / 100, 0.999999) ** rows)))
+        if bands * rows <= PLACES:
+            return bands, rows
+    raise ValueError(f"no bands of {PLACES} places find pairs at {percent} per cent")
+
+
 # --- sets and signatures -----------------------------------------------------
 
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -91,8 +105,9 @@ def super_min_hash(elements: np.ndarray, size: int) -> np.ndarray:
     return held
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    lanes = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
+def _features(batches: Iterator[pa.RecordBatch], n_bands: int,
+              n_rows: int) -> Iterator[pa.RecordBatch]:
+    lanes = mix(np.arange(1, n_bands * n_rows + 1, dtype=np.uint64))
     for batch in batches:
         sizes, names, bands, signatures = [], [], [], []
         for elements in shingle_sets(batch.column(1)):
@@ -106,12 +121,12 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             name = mix(np.array([np.sum(elements * (mix(elements) | np.uint64(1)))
                                  + np.uint64(len(elements))]))
             names.append(int(name.view(np.int64)[0]))
-            rows = mix(super_min_hash(elements, BANDS * ROWS).view(np.uint64) ^ lanes)
-            per_band = rows.reshape(BANDS, ROWS)
-            key = np.zeros(BANDS, np.uint64)
-            for r in range(ROWS):
+            rows = mix(super_min_hash(elements, n_bands * n_rows).view(np.uint64) ^ lanes)
+            per_band = rows.reshape(n_bands, n_rows)
+            key = np.zeros(n_bands, np.uint64)
+            for r in range(n_rows):
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) + per_band[:, r])
-            bands.append((key + np.arange(BANDS, dtype=np.uint64)).view(np.int64))
+            bands.append((key + np.arange(n_bands, dtype=np.uint64)).view(np.int64))
             signatures.append((rows & np.uint64(0xFFFF)).astype("<u2").tobytes())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()),
@@ -138,7 +153,7 @@ def forest(links: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _similar_signatures(pdf: pd.DataFrame) -> list[tuple[int, int]]:
+def _similar_signatures(pdf: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     """Pairs that chain sets of a bucket which look alike."""
     rows = np.stack([np.frombuffer(s, "<u2") for s in pdf["signature"]])
     agree = np.zeros((len(rows), len(rows)), np.int16)
@@ -146,12 +161,12 @@ def _similar_signatures(pdf: pd.DataFrame) -> list[tuple[int, int]]:
         agree += column[:, None] == column[None, :]
     sizes = pdf["n_shingles"].to_numpy()
     low, high = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
-    links = ((agree >= (PERCENT / 100 - MARGIN) * rows.shape[1]) & (100 * low >= PERCENT * high))
+    links = ((agree >= (percent / 100 - MARGIN) * rows.shape[1]) & (100 * low >= percent * high))
     return forest(links)
 
 
-def _similar_sets(pdf: pd.DataFrame) -> list[tuple[int, int]]:
-    """Spanning forest of the sets with 100 * |A and B| >= PERCENT * |A or B|."""
+def _similar_sets(pdf: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """Spanning forest of the sets with 100 * |A and B| >= percent * |A or B|."""
     sets = list(shingle_sets(pa.array(pdf["text"], pa.large_string())))
     sizes = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -168,11 +183,12 @@ def _similar_sets(pdf: pd.DataFrame) -> list[tuple[int, int]]:
         block = np.zeros((len(sets), _COLUMNS), np.float32)
         block[owner[a:b], column[a:b] - k] = 1
         common += block @ block.T
-    links = 100 * common >= PERCENT * (np.add.outer(sizes, sizes) - common)
+    links = 100 * common >= percent * (np.add.outer(sizes, sizes) - common)
     return forest(links)
 
 
-def _edges(members: DataFrame, group: str, columns: list[str], find, per_task: int) -> DataFrame:
+def _edges(members: DataFrame, group: str, columns: list[str], find: Callable,
+           per_task: int) -> DataFrame:
     """Run ``find`` over the members of every ``group`` and return its edges
     (a, b).  Groups above ``BLOCK`` members are dealt to pairs of blocks, so a
     task holds a few blocks at most; small groups share a task."""
@@ -200,14 +216,20 @@ def _edges(members: DataFrame, group: str, columns: list[str], find, per_task: i
             .applyInPandas(run, "a long, b long").distinct())
 
 
-def features(docs: DataFrame) -> DataFrame:
+def features(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Set size, set name ``c``, bands and signature of every document, frozen."""
     require(docs, ["doc_id", "text"])
+    n_bands, n_rows = banding(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _features(batches, n_bands, n_rows)
+
     return frozen(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-                  .mapInArrow(_features, FEATURES))
+                  .mapInArrow(run, FEATURES))
 
 
-def links(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, found: DataFrame,
+          percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Classes (``c``, ``first_id``: least document with that set) and the
     confirmed links between different sets (a, b), as a spanning forest."""
     linked = found.where("c is not null and doc_id is not null")
@@ -221,19 +243,20 @@ def links(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
     signed = linked.join(classes.select("c", F.col("first_id").alias("doc_id")),
                          ["c", "doc_id"]).select("c", "n_shingles", "signature").distinct()
     alike = _edges(buckets.join(signed, "c"), "band", ["n_shingles", "signature"],
-                   _similar_signatures, 4_000)
+                   functools.partial(_similar_signatures, percent=percent), 4_000)
     clusters = components(alike).select(F.col("node").alias("c"), F.col("root").alias("cluster"))
     # the text of one document per set
     chosen = clusters.join(classes, "c").select("c", "cluster", F.col("first_id").alias("doc_id"))
     texts = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
              .join(chosen, "doc_id").select("c", "cluster", "text").dropDuplicates(["c"]))
-    return classes, _edges(texts, "cluster", ["text"], _similar_sets, 400)
+    return classes, _edges(texts, "cluster", ["text"],
+                           functools.partial(_similar_sets, percent=percent), 400)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document."""
-    found = features(docs)
-    classes, linked = links(docs, found)
+    found = features(docs, percent)
+    classes, linked = links(docs, found, percent)
     groups = components(linked)
     named = classes.join(groups.withColumnRenamed("node", "c"), "c", "left").withColumn(
         "root", F.coalesce("root", "c"))
@@ -249,7 +272,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id", "kept"))
 
 
-def keep(docs: DataFrame) -> DataFrame:
+def keep(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group: that with the least id."""
-    copies = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    copies = near_duplicates(docs, percent).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)

@@ -53,7 +53,7 @@ def op3_fourier_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op5_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

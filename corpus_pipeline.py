@@ -25,6 +25,7 @@ from casetrace.llm.common import held_out, table
 from casetrace.session import scratch_path
 
 ORACLE_SQL = None
+NEAR_PERCENT = 80
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +43,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of every near-duplicate group."""
-    return near_dedup.keep(docs)
+    """Keep one document of every near-duplicate group (Jaccard 0.8 or more)."""
+    return near_dedup.keep(docs, NEAR_PERCENT)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
