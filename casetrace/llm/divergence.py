@@ -8,6 +8,10 @@ histograms of *all* documents of the language; a language without a word list
 shares one reference with the others of that kind.  A guard keeps short texts:
 a histogram is only judged when the text is long enough to fill it.
 
+With ``robust`` a reference is the mean share of each bin over the texts that
+pass the base rules, every distinct text once, so neither copies nor long or
+broken texts pull it.  Without, it is the plain sum that ``op2``'s SQL states.
+
 Result for odd input: a null or blank text has no words and fails the base
 rule; a null or unknown language uses the shared reference; repeated rows are
 judged alike; an empty table gives no rows; long texts are read whole; other
@@ -38,6 +42,7 @@ COMMON_WORDS = {
            "una", "es"],
 }
 OTHERS = "*"
+BROADCAST_LANGUAGES = 10_000
 
 
 @dataclass(frozen=True)
@@ -87,15 +92,18 @@ def histograms(docs: DataFrame, words: dict[str, list[str]]) -> DataFrame:
     return out.withColumn("w_rest", F.col("n_words") - counted).drop("__common", "__list")
 
 
-def _divergence(counts: list[str], reference: dict[str, list[float]]) -> Column:
+def _literal(reference: dict[str, list[float]], size: int) -> Column:
+    """A row's reference out of a few, as a constant."""
+    return F.coalesce(*[F.when(F.col("__lang") == lang, F.lit(np.array(v, dtype=np.float64)))
+                        for lang, v in reference.items()], F.lit(np.zeros(size)))
+
+
+def _divergence(counts: list[str], theirs: Column) -> Column:
     """Jensen-Shannon distance of a row's counts to its language's reference.
     As array functions, so that the generated code stays small."""
     held = F.array(*[F.col(c).cast("double") for c in counts])
     total = F.aggregate(held, F.lit(0.0), lambda a, c: a + c)
     own = F.transform(held, lambda c: share(c, total))
-    theirs = F.coalesce(*[F.when(F.col("__lang") == lang, F.lit(np.array(v, dtype=np.float64)))
-                          for lang, v in reference.items()],
-                        F.lit(np.zeros(len(counts))))
 
     def term(x: Column, p: Column, q: Column) -> Column:
         return F.when(x > 0, x * F.log2(2 * x / (p + q))).otherwise(0.0)
@@ -111,6 +119,33 @@ def references(stats: DataFrame, columns: list[str]) -> dict[str, dict[str, int]
     return {r["__lang"]: r.asDict() for r in sums.collect()}
 
 
+def _base_failed(limits: Limits) -> Column:
+    return ((F.col("n_words") < limits.min_words) | (
+        100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words")))
+
+
+def with_robust_references(stats: DataFrame, source: DataFrame, limits: Limits) -> DataFrame:
+    """``stats`` with its language's mean shares in ``__class_ref`` and
+    ``__word_ref``, learnt from ``source``, whose rows name their text by
+    ``__text``."""
+    bins = _bin_columns(limits)
+    # no filter before the grouping: it would repeat every expression of the counts
+    once = source.withColumn("__failed", _base_failed(limits)).groupBy("__lang", "__text").agg(
+        F.min("__failed").alias("__failed"), *[F.min(c).alias(c) for c in CLASS_COLUMNS + bins])
+
+    def means(columns: list[str]) -> Column:
+        total = sum((F.col(c) for c in columns), F.lit(0))
+        return F.array(*[F.avg(share(F.col(c), total)) for c in columns])
+
+    mean = frozen(once.where(~F.col("__failed")).groupBy("__lang").agg(
+        means(CLASS_COLUMNS).alias("__class_ref"), means(bins).alias("__word_ref")))
+    if mean.count() <= BROADCAST_LANGUAGES:
+        mean = F.broadcast(mean)
+    zeros = {"__class_ref": len(CLASS_COLUMNS), "__word_ref": len(bins)}
+    return stats.join(mean, "__lang", "left").withColumns(
+        {c: F.coalesce(c, F.lit(np.zeros(n))) for c, n in zeros.items()})
+
+
 def _bin_columns(limits: Limits) -> list[str]:
     return [f"w_{k}" for k in range(_bins(limits.words))] + ["w_rest"]
 
@@ -120,19 +155,27 @@ def _plain(docs: DataFrame, limits: Limits) -> DataFrame:
     return docs.drop(*OUTPUT, *_bin_columns(limits), *CLASS_COLUMNS, "n_chars_read")
 
 
-def _with_verdict(stats: DataFrame, reference: dict[str, dict[str, int]],
-                  limits: Limits) -> DataFrame:
+def _with_references(stats: DataFrame, source: DataFrame, limits: Limits,
+                     robust: bool) -> DataFrame:
+    """``stats`` with the references learnt from ``source``."""
+    if robust:
+        return with_robust_references(stats, source, limits)
     bins = _bin_columns(limits)
+    reference = references(source, CLASS_COLUMNS + bins)
 
-    def normal(columns: list[str]) -> dict[str, list[float]]:
-        return {lang: [r[c] / max(1, sum(r[x] for x in columns)) for c in columns]
-                for lang, r in reference.items()} or {OTHERS: [0.0] * len(columns)}
+    def normal(columns: list[str]) -> Column:
+        return _literal({lang: [r[c] / max(1, sum(r[x] for x in columns)) for c in columns]
+                         for lang, r in reference.items()}, len(columns))
 
-    base_failed = ((F.col("n_words") < limits.min_words) | (
-        100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words")))
-    out = (stats.withColumn("base_failed", base_failed)
-           .withColumn("class_distance", _divergence(CLASS_COLUMNS, normal(CLASS_COLUMNS)))
-           .withColumn("word_distance", _divergence(bins, normal(bins))))
+    return (stats.withColumn("__class_ref", normal(CLASS_COLUMNS))
+            .withColumn("__word_ref", normal(bins)))
+
+
+def _with_verdict(stats: DataFrame, limits: Limits) -> DataFrame:
+    bins = _bin_columns(limits)
+    out = (stats.withColumn("base_failed", _base_failed(limits))
+           .withColumn("class_distance", _divergence(CLASS_COLUMNS, F.col("__class_ref")))
+           .withColumn("word_distance", _divergence(bins, F.col("__word_ref"))))
     strange = (((F.col("n_chars_read") >= limits.class_min_chars)
                 & (F.col("class_distance") > limits.class_distance))
                | ((F.col("n_words") >= limits.word_min_words)
@@ -142,25 +185,29 @@ def _with_verdict(stats: DataFrame, reference: dict[str, dict[str, int]],
             .withColumn("n_symbols", F.col("n_symbol")))
 
 
-def judge(docs: DataFrame, limits: Limits | None = None) -> DataFrame:
+def judge(docs: DataFrame, limits: Limits | None = None, robust: bool = False) -> DataFrame:
     """``docs`` without the text, with the base counts, ``base_failed``, both
     distances and ``kept``.  The histograms are computed once and frozen."""
     limits = limits or Limits()
     plain = _plain(docs, limits)
-    stats = frozen(histograms(plain, limits.words).drop("text"))
-    reference = references(stats, CLASS_COLUMNS + _bin_columns(limits))
-    return _with_verdict(stats, reference, limits).select(*plain.drop("text").columns, *OUTPUT)
+    stats = histograms(plain, limits.words)
+    if robust:
+        stats = stats.withColumn("__text", F.xxhash64("text"))
+    stats = frozen(stats.drop("text"))
+    return _with_verdict(_with_references(stats, stats, limits, robust), limits).select(
+        *plain.drop("text").columns, *OUTPUT)
 
 
-def keep(docs: DataFrame, limits: Limits | None = None) -> DataFrame:
+def keep(docs: DataFrame, limits: Limits | None = None, robust: bool = False) -> DataFrame:
     """``docs`` that pass, with their columns.  The histograms are computed
     twice, for the references and for the verdict, so that no text crosses the
     network."""
     limits = limits or Limits()
     stats = histograms(_plain(docs, limits), limits.words)
-    reference = references(stats, CLASS_COLUMNS + _bin_columns(limits))
+    referred = _with_references(stats, stats.withColumn("__text", F.xxhash64("text")), limits,
+                                robust)
     # the row number keeps the filter above the counts; pushed below them it
     # would repeat every expression it is made of
-    judged = _with_verdict(stats, reference, limits).withColumn(
+    judged = _with_verdict(referred, limits).withColumn(
         "__row", F.monotonically_increasing_id())
     return judged.where(F.col("kept") & (F.col("__row") >= 0)).select(*docs.columns)

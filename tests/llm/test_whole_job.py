@@ -3,14 +3,17 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("casetrace.llm")
 pytest.importorskip("corpus_pipeline")
 
 import corpus_pipeline as P  # noqa: E402
-from casetrace.llm import near_dedup  # noqa: E402
+from casetrace.llm import divergence, near_dedup  # noqa: E402
+from casetrace.llm.common import table  # noqa: E402
 from test_text_operators import words  # noqa: E402
 
+SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -53,3 +56,29 @@ def test_near_duplicate_stage_links_at_80_per_cent(spark):
     for percent in (80, 85):
         bands, rows = near_dedup.banding(percent)
         assert (1 - (percent / 100) ** rows) ** bands < 1.3e-5
+
+
+def prose(spark, lang):
+    """Distinct documents of a language that pass the base rules and are labelled good."""
+    docs = table(spark, SF, "documents").where(F.col("lang") == lang)
+    good = table(spark, SF, "labels").where("quality = 1").select("doc_id")
+    passing = divergence.judge(docs).where("not base_failed").select("doc_id")
+    return docs.join(good, "doc_id", "left_semi").join(passing, "doc_id", "left_semi").select(
+        "doc_id", "text", "lang", "source", "n_chars")
+
+
+def kept_ids(df):
+    return {r.doc_id for r in df.select("doc_id").collect()}
+
+
+def test_a_third_of_copies_of_junk_rejects_no_clean_document(spark):
+    clean = prose(spark, "en")
+    ids = kept_ids(clean)
+    junk = " ".join(f"{i * 7919}#{i}$" for i in range(2000))
+    copies = spark.range(10 ** 6, 10 ** 6 + len(ids) // 2).select(
+        "id", F.lit(junk), F.lit("en"), F.lit("s"), F.lit(len(junk)).cast("long"))
+    docs = clean.unionAll(copies)
+    assert len(ids) > 20
+    assert kept_ids(P.quality_rules(spark, docs, "")) == ids
+    assert kept_ids(divergence.judge(docs, robust=True).where("kept")) == ids
+    assert not ids & kept_ids(divergence.judge(docs).where("kept"))  # the plain sum
