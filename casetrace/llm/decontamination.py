@@ -3,20 +3,24 @@
 Texts are lower-cased, stripped of punctuation marks and cut into words.  A
 seed is a window of ``SPAN`` words of which a fixed mask keeps some: words at
 the other places may differ.  Every window of the benchmark is indexed under
-every mask; a document's windows are hashed at every ``STEP``-th word, so a
-shared passage of ``SPAN + STEP - 1`` words always holds one.  Hits are then
-verified on the words around them: some aligned run of ``WINDOW`` words (the
-whole item if it is shorter) that contains the seed must agree in at least
-``PERCENT`` of its places.
+every mask, and every window of a document is hashed.  Hits are then verified
+on the words around them: some aligned run of ``WINDOW`` words (the whole item
+if it is shorter) that contains the seed must agree in at least ``PERCENT`` of
+its places.
+
+No such run is missed, wherever its words differ: the three masks leave at
+least one seed of a 13-word run whole under any two differences; where the
+benchmark holds items of 9 to 12 words, ``masks_for`` adds masks until that
+holds for them too; shorter items are hashed as a whole and, from 5 words on,
+with each word left out in turn (``short_masks``).
 
 A two-probe bit filter of the benchmark's hashes, of a fixed size, discards
 nearly all windows inside the row, before anything is exploded.  The index is
 broadcast only while it has at most ``BROADCAST_ROWS`` rows and joined by
 shuffle beyond; the result is the same.
 
-Result for odd input: a null, blank or short text has no windows and is clean;
-items of fewer than ``SPAN`` words are too short to accuse anyone and match
-nothing; repeated items and documents are each reported; a null id is kept as
+Result for odd input: a null or blank text has no windows and is clean; an
+item without words matches nothing; repeated items and documents are each reported; a null id is kept as
 it is; with an empty benchmark every document is clean; an empty table gives
 no rows; other columns travel along unless named like the output.
 """
@@ -24,6 +28,7 @@ no rows; other columns travel along unless named like the output.
 from __future__ import annotations
 
 import functools
+import itertools
 import operator
 
 import numpy as np
@@ -33,9 +38,9 @@ from pyspark.sql import functions as F
 from casetrace.llm.common import frozen, require, words_of
 
 # The masks; 1 keeps a word, 0 ignores it.
-MASKS = ("110101011", "101100111", "111011001")
+MASKS = ("110101011", "111011001", "100111101")
 SPAN = 9
-STEP = 3
+WEIGHT = 6
 WINDOW = 13
 PERCENT = 80
 BROADCAST_ROWS = 1_000_000
@@ -48,13 +53,51 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words_of(plain), lambda w: F.xxhash64(w))
 
 
-def _seeds(words: Column, at: Column) -> Column:
+def need(width: int) -> int:
+    """Equal places that a run of ``width`` words needs."""
+    return -(-width * PERCENT // 100)
+
+
+def _whole_under(mask: str, width: int) -> set[tuple[int, ...]]:
+    """Sets of differing places of a ``width``-word run that leave some seed
+    under ``mask`` whole."""
+    seeds = [{o + i for i, bit in enumerate(mask) if bit == "1"}
+             for o in range(width - len(mask) + 1)]
+    return {places for places in itertools.combinations(range(width), width - need(width))
+            if any(seed.isdisjoint(places) for seed in seeds)}
+
+
+def masks_for(widths: list[int]) -> tuple[str, ...]:
+    """``MASKS``, and as many more as runs of these widths need so that one
+    seed is whole wherever the allowed differences lie."""
+    masks = list(MASKS)
+    every = ["".join("1" if i in held else "0" for i in range(SPAN))
+             for held in itertools.combinations(range(SPAN), WEIGHT)]
+    for width in sorted({w for w in widths if SPAN <= w <= WINDOW}, reverse=True):
+        left = set(itertools.combinations(range(width), width - need(width)))
+        for mask in masks:
+            left -= _whole_under(mask, width)
+        while left:
+            masks.append(max(every, key=lambda m: len(left & _whole_under(m, width))))
+            left -= _whole_under(masks[-1], width)
+    return tuple(masks)
+
+
+def short_masks(width: int) -> tuple[str, ...]:
+    """Masks of a whole item of fewer than ``SPAN`` words."""
+    whole = "1" * width
+    return (whole,) if need(width) == width else tuple(
+        whole[:i] + "0" + whole[i + 1:] for i in range(width))
+
+
+def _seeds(words: Column, at: Column, masks: tuple[str, ...]) -> Column:
     """One (place, hash) per mask for the window at ``at``."""
     made = []
-    for number, mask in enumerate(MASKS):
+    for number, mask in enumerate(masks):
         kept = [F.get(words, at + i) for i, bit in enumerate(mask) if bit == "1"]
+        first = number if len(mask) == SPAN else -100 * len(mask) - number
         made.append(F.struct(at.cast("int").alias("at"),
-                             F.xxhash64(F.lit(number), *kept).alias("h")))
+                             F.xxhash64(F.lit(first), *kept).alias("h")))
     return F.array(*made)
 
 
@@ -64,9 +107,27 @@ def _around(words: Column, at: Column) -> Column:
     return F.array(*[F.get(words, at + k) for k in range(-_BEFORE, WINDOW)])
 
 
-def _windows(words: Column, step: int) -> Column:
-    return F.when(F.size(words) >= SPAN, F.flatten(F.transform(
-        F.sequence(F.lit(0), F.size(words) - SPAN, F.lit(step)), lambda i: _seeds(words, i))))
+def _under(words: Column, masks: tuple[str, ...]) -> Column:
+    """Seeds of all windows of the masks' length; none if the text is shorter."""
+    span = len(masks[0])
+    return F.when(F.size(words) >= span, F.flatten(F.transform(
+        F.sequence(F.lit(0), F.size(words) - span), lambda i: _seeds(words, i, masks)))
+        ).otherwise(F.array().cast("array<struct<at:int,h:bigint>>"))
+
+
+def _windows(words: Column, widths: list[int]) -> Column:
+    """Seeds of a document against items of these widths."""
+    short = [_under(words, short_masks(w)) for w in widths if 0 < w < SPAN]
+    return F.concat(_under(words, masks_for(widths)), *short)
+
+
+def _item_windows(words: Column, widths: list[int]) -> Column:
+    """Seeds of an item: under the masks, or of the whole item if it is shorter."""
+    out = F.when(F.size(words) >= SPAN, _under(words, masks_for(widths)))
+    for w in widths:
+        if 0 < w < SPAN:
+            out = out.when(F.size(words) == w, _under(words, short_masks(w)))
+    return out
 
 
 def _probes(h: Column) -> list[tuple[Column, Column]]:
@@ -75,17 +136,19 @@ def _probes(h: Column) -> list[tuple[Column, Column]]:
              F.shiftrightunsigned(h, shift).bitwiseAND(63).cast("int")) for shift in (0, 24)]
 
 
-def index(items: DataFrame) -> DataFrame:
+def index(items: DataFrame) -> tuple[DataFrame, list[int]]:
     """Seeds of the benchmark: ``h, item_id, around, need`` (agreeing places
-    that a run needs)."""
+    that a run needs), and the widths of its items' runs."""
     require(items, ["item_id", "text"])
     own = items.select("item_id", "text").withColumn("__w", word_hashes(F.col("text")))
-    seeds = own.select("item_id", "__w", F.explode_outer(_windows(F.col("__w"), 1)).alias("s"))
     width = F.least(F.size("__w"), F.lit(WINDOW))
+    widths = sorted(r["width"] for r in own.select(width.alias("width")).distinct().collect())
+    seeds = own.select("item_id", "__w", F.explode_outer(
+        _item_windows(F.col("__w"), widths)).alias("s"))
     return frozen(seeds.select(
         F.col("s.h").alias("h"), "item_id", _around(F.col("__w"), F.col("s.at")).alias("around"),
         width.alias("width"), F.ceil(width * PERCENT / 100).cast("int").alias("need"))
-        .where("h is not null").distinct())
+        .where("h is not null").distinct()), widths
 
 
 def _bit_filter(seeds: DataFrame) -> Column:
@@ -101,7 +164,7 @@ def _bit_filter(seeds: DataFrame) -> Column:
 def matches(docs: DataFrame, items: DataFrame, key: str) -> DataFrame:
     """(``key``, ``item_id``, ``agreeing``) of every document and item that
     share a passage; ``agreeing`` is the best run's number of equal places."""
-    seeds = index(items)
+    seeds, widths = index(items)
     held = _bit_filter(seeds)
 
     def passes(h: Column) -> Column:
@@ -109,7 +172,7 @@ def matches(docs: DataFrame, items: DataFrame, key: str) -> DataFrame:
             F.getbit(F.get(held, word), bit) == 1 for word, bit in _probes(h)])
 
     own = docs.select(key, "text").withColumn("__w", word_hashes(F.col("text"))).drop("text")
-    own = own.withColumn("__s", F.filter(_windows(F.col("__w"), STEP), lambda s: passes(s["h"])))
+    own = own.withColumn("__s", F.filter(_windows(F.col("__w"), widths), lambda s: passes(s["h"])))
     own = own.withColumn("__s", F.transform("__s", lambda s: F.struct(
         s["h"].alias("h"), _around(F.col("__w"), s["at"]).alias("doc"))))
     # explode_outer: a filter on the array, which explode implies, would be

@@ -1,6 +1,8 @@
 """What the operators left out before: each case here is found by plain Python."""
 
+import itertools
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ pytest.importorskip("casetrace.llm")
 pytest.importorskip("corpus_pipeline")
 
 import corpus_pipeline as P  # noqa: E402
-from casetrace.llm import divergence, near_dedup  # noqa: E402
+from casetrace.llm import decontamination, divergence, near_dedup  # noqa: E402
 from casetrace.llm.common import table  # noqa: E402
 from test_text_operators import words  # noqa: E402
 
@@ -82,3 +84,44 @@ def test_a_third_of_copies_of_junk_rejects_no_clean_document(spark):
     assert kept_ids(P.quality_rules(spark, docs, "")) == ids
     assert kept_ids(divergence.judge(docs, robust=True).where("kept")) == ids
     assert not ids & kept_ids(divergence.judge(docs).where("kept"))  # the plain sum
+
+
+def plain_words(text):
+    return re.findall(r"[^\x20\x09-\x0d]+", re.sub(r"[.,;:!?\"'()\[\]]+", "", (text or "").lower()))
+
+
+def shares_a_run(doc, items):
+    """The rule itself: some aligned run of 13 words, or a whole shorter item,
+    of which four fifths agree."""
+    for item in items:
+        width = min(13, len(item))
+        for a in range(len(item) - width + 1 if item else 0):
+            for b in range(len(doc) - width + 1):
+                same = sum(map(str.__eq__, item[a:a + width], doc[b:b + width]))
+                if 5 * same >= 4 * width:
+                    return True
+    return False
+
+
+def test_every_run_of_the_rule_is_found_at_every_phase(spark):
+    widths = [2, 4, 5, 7, 8, 9, 10, 11, 12, 13, 20]
+    items = [[f"i{n}w{k}" for k in range(n)] for n in widths]
+    docs = []
+    for item in items:
+        run = item[-13:]
+        for changes in range(4):
+            if changes > len(run):
+                continue
+            for n, places in enumerate(itertools.combinations(range(len(run)), changes)):
+                if changes == 3 and n % 7:
+                    continue
+                phases = range(3) if changes < 2 else [n % 3]
+                docs += [["pre"] * phase + ["x" if k in places else w for k, w in enumerate(run)]
+                         + ["post"] * 3 for phase in phases]
+    got = kept_ids(decontamination.flag(
+        documents(spark, [" ".join(d) for d in docs]), spark.createDataFrame(
+            [(n, " ".join(i)) for n, i in enumerate(items)] + [(99, ""), (100, None)],
+            "item_id long, text string")).where("contaminated"))
+    want = {n for n, d in enumerate(docs) if shares_a_run(d, items)}
+    assert len(docs) > 500 and 100 < len(want) < len(docs) - 50
+    assert got == want
