@@ -1,8 +1,10 @@
 """What the operators left out before: each case here is found by plain Python."""
 
 import itertools
+import math
 import random
 import re
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ pytest.importorskip("casetrace.llm")
 pytest.importorskip("corpus_pipeline")
 
 import corpus_pipeline as P  # noqa: E402
-from casetrace.llm import decontamination, divergence, near_dedup  # noqa: E402
+from casetrace.llm import decontamination, divergence, near_dedup, ppm  # noqa: E402
 from casetrace.llm.common import table  # noqa: E402
 from test_text_operators import words  # noqa: E402
 
@@ -125,3 +127,38 @@ def test_every_run_of_the_rule_is_found_at_every_phase(spark):
     want = {n for n, d in enumerate(docs) if shares_a_run(d, items)}
     assert len(docs) > 500 and 100 < len(want) < len(docs) - 50
     assert got == want
+
+
+@pytest.mark.parametrize("room", [0, 40, 1 << 19])
+def test_contexts_of_four_bytes_against_plain_python(spark, monkeypatch, room):
+    monkeypatch.setattr(ppm, "COMMON_GRAMS", room)
+    train = ["the cat sat on the mat", "the dog sat on the cat", "a that then this", "", "é ü é"] * 2
+    asked = ["the cat sat on the mat", "the dot sag on thé cap", "zzz qqq", "", "a thas", "üé the"]
+    docs = documents(spark, train + asked).select(
+        "doc_id", "text", (F.col("doc_id") >= len(train)).alias("held_out"))
+    got = {r.doc_id: r.score for r in ppm.train(docs.where("not held_out"), 4).score(docs).collect()}
+    seen = defaultdict(Counter)
+    for t in train:
+        b = b"\xff" * 4 + t.encode() + b"\xff"
+        for k in range(4, len(b)):
+            for o in range(5):
+                seen[b[k - o:k]][b[k]] += 1
+    for i, t in enumerate(train + asked):
+        b, want = b"\xff" * 4 + t.encode() + b"\xff", 0.0
+        for k in range(4, len(b)):
+            escape, offered = 1.0, set()
+            for o in range(4, -1, -1):
+                left = {s: n for s, n in seen[b[k - o:k]].items() if s not in offered}
+                if not left:
+                    continue
+                total = sum(left.values()) + len(left)
+                if b[k] in left:
+                    want += math.log10(escape * left[b[k]] / total)
+                    break
+                escape *= len(left) / total
+                offered |= set(left)
+            else:
+                want += math.log10(escape / (256 - len(offered)))
+        assert got[i] == pytest.approx(want, rel=1e-5)
+    assert ppm.train(docs.limit(0), 4).score(docs).count() == len(got)
+    assert ppm.train(docs.limit(0), 4).score(docs.limit(0)).count() == 0
