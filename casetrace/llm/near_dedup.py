@@ -23,8 +23,9 @@ sets:
 
 Result for odd input: a null, blank or wordless text has an empty set and
 links to nothing; a null ``doc_id`` takes no part in linking (its component is
-null and it is kept); repeated rows share a component and, as the component's
-id is theirs, are all kept; an empty table gives no rows; very long texts are
+null and it is kept); repeated rows share a component and, if the component's
+id is theirs, are all kept; different texts under one ``doc_id`` are judged
+each for itself; an empty table gives no rows; very long texts are
 read whole; other columns travel along unless named like the output.
 """
 
@@ -55,8 +56,9 @@ BLOCK = 256
 _CHUNK = 65_536
 _COLUMNS = 8_192
 
-FEATURES = struct(("doc_id", T.LongType()), ("n_shingles", T.LongType()), ("c", T.LongType()),
-                  ("bands", T.ArrayType(T.LongType())), ("signature", T.BinaryType()))
+FEATURES = struct(("doc_id", T.LongType()), ("text_hash", T.LongType()),
+                  ("n_shingles", T.LongType()), ("c", T.LongType()), ("bands", T.ArrayType(T.LongType())),
+                  ("signature", T.BinaryType()))
 
 
 def banding(percent: int) -> tuple[int, int]:
@@ -110,7 +112,7 @@ def _features(batches: Iterator[pa.RecordBatch], n_bands: int,
     lanes = mix(np.arange(1, n_bands * n_rows + 1, dtype=np.uint64))
     for batch in batches:
         sizes, names, bands, signatures = [], [], [], []
-        for elements in shingle_sets(batch.column(1)):
+        for elements in shingle_sets(batch.column(2)):
             sizes.append(len(elements))
             if not len(elements):
                 names.append(None)
@@ -129,7 +131,7 @@ def _features(batches: Iterator[pa.RecordBatch], n_bands: int,
             bands.append((key + np.arange(n_bands, dtype=np.uint64)).view(np.int64))
             signatures.append((rows & np.uint64(0xFFFF)).astype("<u2").tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()),
+            [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()),
              pa.array(bands, pa.list_(pa.int64())), pa.array(signatures, pa.binary())],
             names=FEATURES.names)
 
@@ -216,6 +218,12 @@ def _edges(members: DataFrame, group: str, columns: list[str], find: Callable,
             .applyInPandas(run, "a long, b long").distinct())
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """A row is known by its id and the hash of its text."""
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn(
+        "text_hash", F.xxhash64("text"))
+
+
 def features(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Set size, set name ``c``, bands and signature of every document, frozen."""
     require(docs, ["doc_id", "text"])
@@ -224,16 +232,17 @@ def features(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _features(batches, n_bands, n_rows)
 
-    return frozen(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-                  .mapInArrow(run, FEATURES))
+    return frozen(_named(docs).select("doc_id", "text_hash", "text").mapInArrow(run, FEATURES))
 
 
 def links(docs: DataFrame, found: DataFrame,
           percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Classes (``c``, ``first_id``: least document with that set) and the
+    """Classes (``c``, ``first_id``, ``first_text``: least document with that set) and the
     confirmed links between different sets (a, b), as a spanning forest."""
     linked = found.where("c is not null and doc_id is not null")
-    classes = frozen(linked.groupBy("c").agg(F.min("doc_id").alias("first_id")))
+    classes = frozen(linked.groupBy("c").agg(F.min(
+        F.struct("doc_id", "text_hash")).alias("first")).select(
+        "c", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_text")))
     # buckets that at least two different sets share
     banded = linked.select("c", F.explode("bands").alias("band"))
     shared = (banded.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
@@ -246,33 +255,44 @@ def links(docs: DataFrame, found: DataFrame,
                    functools.partial(_similar_signatures, percent=percent), 4_000)
     clusters = components(alike).select(F.col("node").alias("c"), F.col("root").alias("cluster"))
     # the text of one document per set
-    chosen = clusters.join(classes, "c").select("c", "cluster", F.col("first_id").alias("doc_id"))
-    texts = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-             .join(chosen, "doc_id").select("c", "cluster", "text").dropDuplicates(["c"]))
+    chosen = clusters.join(classes, "c").select(
+        "c", "cluster", F.col("first_id").alias("doc_id"), F.col("first_text").alias("text_hash"))
+    texts = (_named(docs).join(chosen, ["doc_id", "text_hash"]).select("c", "cluster", "text").dropDuplicates(["c"]))
     return classes, _edges(texts, "cluster", ["text"],
                            functools.partial(_similar_sets, percent=percent), 400)
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every document."""
+def _judged(docs: DataFrame, percent: int) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component_id, kept`` of every document."""
     found = features(docs, percent)
     classes, linked = links(docs, found, percent)
     groups = components(linked)
     named = classes.join(groups.withColumnRenamed("node", "c"), "c", "left").withColumn(
         "root", F.coalesce("root", "c"))
-    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_class = named.join(least, "root").select("c", "component_id")
+    least = named.groupBy("root").agg(F.min(F.struct("first_id", "c")).alias("lead"))
+    of_class = named.join(least, "root").select(
+        "c", F.col("lead.first_id").alias("component_id"), (F.col("c") == F.col("lead.c")).alias("leads"))
     # empty sets belong to no class; they stay out of the join
-    rows = found.select("doc_id", "n_shingles", "c")
+    rows = found.select("doc_id", "text_hash", "n_shingles", "c")
     joined = rows.where("c is not null").join(of_class, "c", "left").unionByName(
-        rows.where("c is null").withColumn("component_id", F.lit(None).cast("long")))
+        rows.where("c is null").withColumn("component_id", F.lit(None).cast("long"))
+        .withColumn("leads", F.lit(True)))
     return (joined.withColumn("component_id", F.when(F.col("doc_id").isNotNull(),
                                                      F.coalesce("component_id", "doc_id")))
-            .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
-            .select("doc_id", "n_shingles", "component_id", "kept"))
+            .withColumn("kept", F.coalesce(
+                (F.col("component_id") == F.col("doc_id")) & F.coalesce("leads", F.lit(True)),
+                F.lit(True)) | F.col("doc_id").isNull())
+            .select("doc_id", "text_hash", "n_shingles", "component_id", "kept"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every document."""
+    return _judged(docs, percent).drop("text_hash")
 
 
 def keep(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group: that with the least id."""
-    copies = near_duplicates(docs, percent).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    copies = (_judged(docs, percent).where(~F.col("kept"))
+              .select("doc_id", F.col("text_hash").alias("__text")).distinct())
+    return docs.withColumn("__text", F.xxhash64(F.col("text").cast("string"))).join(
+        copies, ["doc_id", "__text"], "left_anti").select(*docs.columns)

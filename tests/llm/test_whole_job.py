@@ -162,3 +162,13 @@ def test_contexts_of_four_bytes_against_plain_python(spark, monkeypatch, room):
         assert got[i] == pytest.approx(want, rel=1e-5)
     assert ppm.train(docs.limit(0), 4).score(docs).count() == len(got)
     assert ppm.train(docs.limit(0), 4).score(docs.limit(0)).count() == 0
+
+
+def test_different_texts_under_one_id_are_judged_each_for_itself(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    docs = spark.createDataFrame(
+        [(1, a), (7, a), (7, b), (8, b + " end"), (9, c), (9, c + " end")], "doc_id long, text string")
+    for stage in (near_dedup.keep(docs, 80), near_dedup.keep(docs)):
+        got = sorted((r.doc_id, r.text[0]) for r in stage.collect())
+        assert got == [(1, "a"), (7, "b"), (9, "c")]
+    assert near_dedup.keep(docs.where("doc_id in (7, 8)")).count() == 2
