@@ -10,7 +10,8 @@ a histogram is only judged when the text is long enough to fill it.
 
 With ``robust`` a reference is the mean share of each bin over the texts that
 pass the base rules, every distinct text once, so neither copies nor long or
-broken texts pull it.  Without, it is the plain sum that ``op2``'s SQL states.
+broken texts pull it; each value of ``lang`` has its own, listed or not, and a
+null ``lang`` has none, so neither distance rejects its texts.  Without, it is the plain sum that ``op2``'s SQL states.
 
 Result for odd input: a null or blank text has no words and fails the base
 rule; a null or unknown language uses the shared reference; repeated rows are
@@ -130,19 +131,19 @@ def with_robust_references(stats: DataFrame, source: DataFrame, limits: Limits)
     ``__text``."""
     bins = _bin_columns(limits)
     # no filter before the grouping: it would repeat every expression of the counts
-    once = source.withColumn("__failed", _base_failed(limits)).groupBy("__lang", "__text").agg(
+    once = source.withColumn("__failed", _base_failed(limits)).groupBy("lang", "__text").agg(
         F.min("__failed").alias("__failed"), *[F.min(c).alias(c) for c in CLASS_COLUMNS + bins])
 
     def means(columns: list[str]) -> Column:
         total = sum((F.col(c) for c in columns), F.lit(0))
         return F.array(*[F.avg(share(F.col(c), total)) for c in columns])
 
-    mean = frozen(once.where(~F.col("__failed")).groupBy("__lang").agg(
+    mean = frozen(once.where(~F.col("__failed")).groupBy("lang").agg(
         means(CLASS_COLUMNS).alias("__class_ref"), means(bins).alias("__word_ref")))
     if mean.count() <= BROADCAST_LANGUAGES:
         mean = F.broadcast(mean)
     zeros = {"__class_ref": len(CLASS_COLUMNS), "__word_ref": len(bins)}
-    return stats.join(mean, "__lang", "left").withColumns(
+    return stats.join(mean, "lang", "left").withColumns(
         {c: F.coalesce(c, F.lit(np.zeros(n))) for c, n in zeros.items()})
 
 
@@ -171,7 +172,7 @@ def _with_references(stats: DataFrame, source: DataFrame, limits: Limits,
             .withColumn("__word_ref", normal(bins)))
 
 
-def _with_verdict(stats: DataFrame, limits: Limits) -> DataFrame:
+def _with_verdict(stats: DataFrame, limits: Limits, robust: bool) -> DataFrame:
     bins = _bin_columns(limits)
     out = (stats.withColumn("base_failed", _base_failed(limits))
            .withColumn("class_distance", _divergence(CLASS_COLUMNS, F.col("__class_ref")))
@@ -180,6 +181,8 @@ def _with_verdict(stats: DataFrame, limits: Limits) -> DataFrame:
                 & (F.col("class_distance") > limits.class_distance))
                | ((F.col("n_words") >= limits.word_min_words)
                   & (F.col("__lang") != OTHERS) & (F.col("word_distance") > limits.word_distance)))
+    if robust:
+        strange = strange & F.col("lang").isNotNull()
     return (out.withColumn("kept", ~F.col("base_failed") & ~strange)
             .withColumn("word_chars", F.col("n_chars_read") - F.col("n_space"))
             .withColumn("n_symbols", F.col("n_symbol")))
@@ -194,7 +197,7 @@ def judge(docs: DataFrame, limits: Limits | None = None, robust: bool = False) -
     if robust:
         stats = stats.withColumn("__text", F.xxhash64("text"))
     stats = frozen(stats.drop("text"))
-    return _with_verdict(_with_references(stats, stats, limits, robust), limits).select(
+    return _with_verdict(_with_references(stats, stats, limits, robust), limits, robust).select(
         *plain.drop("text").columns, *OUTPUT)
 
 
@@ -208,6 +211,6 @@ def keep(docs: DataFrame, limits: Limits | None = None, robust: bool = False) ->
                                 robust)
     # the row number keeps the filter above the counts; pushed below them it
     # would repeat every expression it is made of
-    judged = _with_verdict(referred, limits).withColumn(
+    judged = _with_verdict(referred, limits, robust).withColumn(
         "__row", F.monotonically_increasing_id())
     return judged.where(F.col("kept") & (F.col("__row") >= 0)).select(*docs.columns)

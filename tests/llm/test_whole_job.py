@@ -172,3 +172,12 @@ def test_different_texts_under_one_id_are_judged_each_for_itself(spark):
         got = sorted((r.doc_id, r.text[0]) for r in stage.collect())
         assert got == [(1, "a"), (7, "b"), (9, "c")]
     assert near_dedup.keep(docs.where("doc_id in (7, 8)")).count() == 2
+
+
+def test_a_language_without_word_list_has_its_own_reference(spark):
+    latin = [" ".join(f"parola{chr(97 + (i * k) % 26)} bella{k}" for k in range(60)) for i in range(27)]
+    cyrillic = [" ".join(f"слово{chr(1072 + (i * k) % 26)} мир{k}" for k in range(60)) for i in range(3)]
+    docs = documents(spark, latin, "it").unionAll(documents(spark, cyrillic, "ru")).unionAll(
+        documents(spark, cyrillic, None))
+    assert divergence.keep(docs).where("lang = 'ru' or lang is null").count() == 0  # the pooled sum
+    assert P.quality_rules(spark, docs, "").count() == docs.count()
