@@ -181,3 +181,19 @@ def test_a_language_without_word_list_has_its_own_reference(spark):
         documents(spark, cyrillic, None))
     assert divergence.keep(docs).where("lang = 'ru' or lang is null").count() == 0  # the pooled sum
     assert P.quality_rules(spark, docs, "").count() == docs.count()
+
+
+def test_decontamination_stage_against_the_rule(spark):
+    docs = table(spark, SF, "documents")
+    items = [plain_words(r.text) for r in table(spark, SF, "benchmark").collect()]
+    # two differences in 13 words leave four neighbours whole; no item is shorter here
+    assert min(map(len, items)) >= 13
+    fours = {tuple(i[k:k + 4]) for i in items for k in range(len(i) - 3)}
+    want = set()
+    for r in docs.collect():
+        doc = plain_words(r.text)
+        near = [k for k in range(len(doc) - 3) if tuple(doc[k:k + 4]) in fours]
+        if not any(shares_a_run(doc[max(0, k - 13):k + 17], items) for k in near):
+            want.add(r.doc_id)
+    assert kept_ids(P.benchmark_decontamination(spark, docs, SF)) == want
+    assert len(want) < docs.count()
