@@ -4,7 +4,7 @@ from casetrace.cli import main
 from casetrace.sources.case_feed import write_case_feed
 from casetrace.sources.tables import read_model
 
-from conftest import records
+from feed_rows import records
 
 
 def test_cli_load_build_report(spark, scratch, capsys):

@@ -3,7 +3,7 @@ import pytest
 from casetrace.operators.quality import ModelError, assert_valid, violations
 from casetrace.plans.model import build_model
 
-from conftest import d, records
+from feed_rows import d, records
 
 
 def rows(df, *cols):

@@ -5,7 +5,7 @@ from casetrace.plans.model import build_model
 from casetrace.sources.fixtures import fixture_report
 from casetrace.sources.tables import read_model, write_model
 
-from conftest import records
+from feed_rows import records
 
 
 def _plan(df) -> str:

@@ -11,7 +11,7 @@ from casetrace.operators.keys import assign_ids
 from casetrace.plans import reports as R
 from casetrace.plans.model import build_model
 
-from conftest import records
+from feed_rows import records
 
 SETTINGS = settings(max_examples=12, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -1,7 +1,7 @@
 from casetrace.plans import reports as R
 from casetrace.plans.model import build_model
 
-from conftest import d, records
+from feed_rows import d, records
 
 
 def test_r1_keeps_facility_without_deaths(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from casetrace.operators.joins import fanout_join, hot_keys
 from casetrace.plans.model import build_associate, build_person, contact_rows
 
-from conftest import d, records
+from feed_rows import d, records
 
 
 def test_hot_name_is_whole(spark):

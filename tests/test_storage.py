@@ -5,7 +5,7 @@ from casetrace.sources.tables import (drop_model, drop_staging, load_model, read
                                       register_staging, save_model, write_model)
 from casetrace.operators.quality import ModelError
 
-from conftest import records
+from feed_rows import records
 
 
 def _feed(spark):
@@ -71,7 +71,7 @@ def test_append_in_place_and_refused_overwrite(spark, scratch):
     import pytest
     from casetrace.plans.model import build_model
     from casetrace.sources.tables import append_model, read_model, write_model
-    from conftest import records
+    from feed_rows import records
     write_model(build_model(records(spark, {}, {"person_given": "Bea"})), f"{scratch}/m")
     stored = read_model(spark, f"{scratch}/m")
     model = build_model(records(spark, {}, {"person_given": "Eva"}), existing=stored)

@@ -4,7 +4,7 @@ from casetrace.plans.model import build_model
 from casetrace.sources.case_feed import write_case_feed
 from casetrace.streaming import read_appended_model, start_ingest
 
-from conftest import records
+from feed_rows import records
 
 
 def _without_ids(df, id_col):
