@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrace.llm import classifier, decontamination, divergence, near_dedup, packing, ppm, preference
-from casetrace.llm import sharding, token_files, url_rules
+from casetrace.llm import classifier, collocations, decontamination, divergence, exact_dedup, near_dedup
+from casetrace.llm import packing, ppm, preference, sharding, token_files, url_rules, whitening
 from casetrace.llm.common import frozen, held_out, table
 from casetrace.session import scratch_path
 
@@ -108,6 +108,23 @@ def op10_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.format_pairs(turns, preference.swap_last_reply(turns), "conv_id")
 
 
+def op11_misra_gries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest phrases of every language, from all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), threshold=30, longest=4,
+                                     inside_percent=80, top=2000)
+
+
+def op12_progressive_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact duplicates of all documents, with every text's hash."""
+    found = exact_dedup.duplicates(table(spark, sf_dir, "documents"), hash_all=True)
+    return found.withColumnRenamed("full_hash", "text_sha256")
+
+
+def op13_jacobi_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings projected on the 16 whitened leading components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
 def _op2_sql() -> str:
     """The base counts and both distances from plain regular expressions and
     joins, without the operator's stripping, sorting or filtering steps."""
@@ -276,14 +293,71 @@ FROM marked
 """
 
 
+# Every n-gram of every text counted, no summary and no filter.
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang
+), places AS (
+  SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+  FROM worded, (VALUES (1), (2), (3), (4)) s(m) WHERE len(w) >= m
+), f AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM places GROUP BY ALL HAVING count(*) >= 30
+), phrases AS (
+  SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1
+), cuts AS (
+  SELECT lang, phrase, a, w, m, unnest(range(1, m)) AS k FROM phrases
+), measured AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+         CAST(c.a AS HUGEINT) * 2000000 // (CAST(x.f AS HUGEINT) + y.f) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:c.k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')
+), weakest AS (
+  SELECT * FROM measured
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), dropped AS (
+  SELECT DISTINCT s.lang, s.phrase FROM phrases s JOIN phrases t
+    ON s.lang = t.lang AND t.m > s.m AND contains(' ' || t.phrase || ' ', ' ' || s.phrase || ' ')
+   AND 100 * CAST(t.a AS HUGEINT) >= 80 * CAST(s.a AS HUGEINT)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM weakest ANTI JOIN dropped USING (lang, phrase)
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS bare
+  FROM documents
+), ranked AS (
+  SELECT doc_id, bare, count(*) OVER (PARTITION BY bare) AS group_size,
+         row_number() OVER best AS place, first_value(doc_id) OVER best AS keep_id
+  FROM d WINDOW best AS (PARTITION BY bare ORDER BY length(t) DESC, doc_id NULLS LAST)
+)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(bare) AS text_sha256 FROM ranked
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_sampled_splitters, op2_divergence_rules,
                                     op3_fourier_classifier, op4_super_minhash,
                                     op5_power_of_two_packing, op6_spaced_seeds,
                                     op7_partial_matching, op8_perfect_hash_index, op9_rarest_token_rules,
-                                    op10_preference_pairs)}
+                                    op10_preference_pairs, op11_misra_gries, op12_progressive_refinement,
+                                    op13_jacobi_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_divergence_rules": _op2_sql(), "op9_rarest_token_rules": OP9_SQL,
-            "op10_preference_pairs": OP10_SQL}
+            "op10_preference_pairs": OP10_SQL, "op11_misra_gries": OP11_SQL,
+            "op12_progressive_refinement": OP12_SQL}
