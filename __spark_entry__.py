@@ -4,8 +4,8 @@ Every query builds the case feed from the given tables (one record per
 ``lineitem``, FIXTURES.md section 3), normalises it with ``casetrace`` and
 returns one model table, one report or one operator's output over the *whole*
 feed.  The oracle SQL twins are queries of their own design for the same
-definitions: lists of ids that are unnested, ranks instead of thresholds,
-semi and anti joins, and one pass for two loads.
+definitions, so that a slip in one does not recur in the other.  Reports that
+state an order carry each row's place in it.
 
 Ids: the model numbers rows in natural-key order; the twins do the same with
 ``row_number() OVER (ORDER BY ...)`` (NULLS FIRST, binary string order).
@@ -20,7 +20,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from casetrace.functions.dates import parse_date  # noqa: E402
@@ -70,8 +70,27 @@ def _model(spark: SparkSession, sf_dir: str) -> Model:
     return _MEMO[key]
 
 
+# Order of the reports that state one
+REPORT_ORDER = {
+    "r1": "name, address", "r2": "given, family", "r3": "given, family, address",
+    "r5": "n DESC, given, family, address", "r6": "given, family, died_on NULLS LAST",
+    "r7b": "given, family, address", "r9": "pct DESC, name, address", "r10": "pct DESC, name, address",
+}
+
+
+def _positioned(df: DataFrame) -> DataFrame:
+    """``df`` with the place of each row in the order it comes out in."""
+    placed = df.withColumn("__at", F.monotonically_increasing_id())
+    return placed.withColumn("position", F.row_number().over(Window.orderBy("__at"))).drop("__at")
+
+
 def _report(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: fixture_report(_model(spark, sf_dir), name)
+    """A report; with the place of each row where the report states an order
+    (reports are small, so one task numbers their rows)."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found = fixture_report(_model(spark, sf_dir), name)
+        return _positioned(found) if name in REPORT_ORDER else found
+    return query
 
 
 def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -119,15 +138,45 @@ def q_numeric_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_reject_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed written with unpadded day/month; values with a one-digit
-    day or month are rejected, counted per column."""
+    """The feed written with unpadded day/month, and met-on dates of the
+    first days of a month written with no slash, with one, and as the 31st of
+    February; rejected values counted per column and reason."""
     path = scratch_path(spark, "feed-unpadded")
-    write_case_feed(_staging(spark, sf_dir), path, date_pattern="d/M/yyyy")
+    staging = _staging(spark, sf_dir)
+    day = F.dayofmonth("met_on")
+    text = (to_feed_text(staging.select("*", day.alias("day")), original_header=False, date_pattern="d/M/yyyy",
+                         further=["day"])
+            .withColumn("met_on", F.when(F.col("day") == 1, F.lit("2020")).when(F.col("day") == 2, F.lit("2/2020"))
+                        .when(F.col("day") == 3, F.lit("31/02/2020")).otherwise(F.col("met_on"))).drop("day"))
+    text.write.option("header", True).csv(path)
     loaded = load_case_records(spark, path, on_bad="null")
     return (loaded.rejected.groupBy("column_name", "reason")
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+RAGGED_HEADER = "person_given,person_family,person_address"
+
+
+def q_ragged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as feed lines of three fields, of which every seventh lacks
+    one and every eleventh has two too many; what was staged, and the rejected
+    lines."""
+    path = scratch_path(spark, "feed-ragged")
+    key = F.col("c_custkey")
+    line = F.concat(F.col("c_name"), F.lit(","), F.col("c_mktsegment"),
+                    F.when(key % 7 == 0, F.lit("")).otherwise(F.concat(F.lit(","), key.cast("string"))),
+                    F.when((key % 11 == 0) & (key % 7 != 0), F.lit(",x,y")).otherwise(F.lit("")))
+    # a column named like the header, written without quoting, makes the lines
+    (spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet").select(line.alias(RAGGED_HEADER))
+     .write.option("header", True).option("sep", "\x01").option("quote", "").csv(path))
+    feed = load_and_stage(spark, path, scratch_path(spark, "staged"), on_bad="drop")
+    staged = feed.clean.select(F.lit("staged").alias("kind"), "person_given", "person_family", "person_address",
+                               F.lit(None).cast("string").alias("line"))
+    none = [F.lit(None).cast("string").alias(c) for c in ("person_given", "person_family", "person_address")]
+    return staged.unionByName(feed.rejected.select(F.col("reason").alias("kind"), *none,
+                                                   F.col("raw_value").alias("line")))
+
+
 def q_dense_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1: dense ids over every record of the feed, in full-row order."""
     st = _staging(spark, sf_dir)
@@ -295,6 +344,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "c3_empty_to_null": q_empty_to_null,
         "c4_numeric_cast": q_numeric_cast,
         "c5_reject_malformed": q_reject_malformed,
+        "s1_ragged_rows": q_ragged_rows,
         "k1_dense_id": q_dense_id,
         "k2_insert_if_absent": q_insert_if_absent,
         "k2_contact_two_loads": q_contact_two_loads,
@@ -480,7 +530,7 @@ def _treated(description: str, extra: str = "") -> str:
 P = FIXTURE_PARAMETERS
 DEAD = f"(status = '{P['r1']['status']}' OR died_on IS NOT NULL)"
 TWICE_TREATED = """SELECT person_id FROM (
-    SELECT person_id, len(list(treatment_id)) AS n FROM person_treatment GROUP BY person_id)
+    SELECT person_id, count(*) AS n FROM person_treatment GROUP BY person_id)
   WHERE n = 2"""
 
 REPORT_SQL = {
@@ -561,14 +611,25 @@ def _csv_scan_sql() -> str:
 
 
 def _reject_sql() -> str:
-    parts = [
-        f"SELECT '{c}' AS column_name, 'bad_date' AS reason, "
-        f"CAST(COUNT(*) AS BIGINT) AS n FROM staging "
-        f"WHERE {c} IS NOT NULL AND (day({c}) < 10 OR month({c}) < 10) "
-        f"HAVING COUNT(*) > 0"
-        for c in DATE_COLUMNS
-    ]
-    return _with("\nUNION ALL\n".join(parts), ())
+    cases = [f"SELECT '{c}' AS column_name, 'bad_date' AS reason FROM staging "
+             f"WHERE day({c}) < 10 OR month({c}) < 10" for c in DATE_COLUMNS if c != "met_on"]
+    cases.append("""SELECT 'met_on', CASE WHEN day(met_on) <= 2 THEN 'date_form' ELSE 'bad_date' END FROM staging
+  WHERE day(met_on) < 10 OR month(met_on) < 10""")
+    union = "\nUNION ALL\n".join(cases)
+    return _with(f"SELECT column_name, reason, count(*) AS n FROM ({union}) GROUP BY ALL", ())
+
+
+RAGGED_SQL = """
+WITH fields AS (
+  SELECT c_custkey AS k, c_name, c_mktsegment, CAST(c_custkey AS VARCHAR) AS address FROM customer
+)
+SELECT 'staged' AS kind, c_name AS person_given, c_mktsegment AS person_family, address AS person_address,
+       CAST(NULL AS VARCHAR) AS line FROM fields WHERE k % 7 <> 0 AND k % 11 <> 0
+UNION ALL
+SELECT 'token_count', NULL, NULL, NULL, concat_ws(',', c_name, c_mktsegment) FROM fields WHERE k % 7 = 0
+UNION ALL
+SELECT 'token_count', NULL, NULL, NULL, concat_ws(',', c_name, c_mktsegment, address, 'x', 'y') FROM fields
+WHERE k % 7 <> 0 AND k % 11 = 0"""
 
 
 def _dense_id_sql() -> str:
@@ -738,6 +799,7 @@ FROM (SELECT l_orderkey, l_linenumber,
                     CAST(l_linenumber AS VARCHAR)) AS score_text
       FROM lineitem) t""",
         "c5_reject_malformed": _reject_sql(),
+        "s1_ragged_rows": RAGGED_SQL,
         "k1_dense_id": _dense_id_sql(),
         "k2_insert_if_absent": _insert_if_absent_sql(),
         "k2_contact_two_loads": _contact_two_loads_sql(),
@@ -762,7 +824,11 @@ FROM (SELECT l_orderkey, l_linenumber,
     for table, bid in builder_ids.items():
         cols = ", ".join(f.name for f in MODEL_SCHEMAS[table].fields)
         out[f"{bid}_{table}"] = _with(f"SELECT {cols} FROM {table}")
-    for name, body in REPORT_SQL.items():
+    for short, name in zip(R.REPORTS, REPORT_SQL):
+        body = REPORT_SQL[name]
+        if short in REPORT_ORDER:
+            body = (f"SELECT *, CAST(row_number() OVER (ORDER BY {REPORT_ORDER[short]}) AS INTEGER) AS position\n"
+                    f"FROM ({body}) report")
         out[name] = _with(body)
     if llm := _llm_parts():
         out |= llm[0].oracle_sql()

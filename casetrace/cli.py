@@ -1,11 +1,11 @@
 """Command line: the original routes as subcommands.
 
-    python -m casetrace load   --feed FEED.csv --staged OUT [--on-bad null|drop|fail]
+    python -m casetrace load   --feed FEED.csv --staged OUT [--on-bad null|drop|fail|original]
     python -m casetrace build  --staged STAGED --model OUT [--existing MODEL]
                                [--on-null report|drop|fail]
     python -m casetrace check  --model MODEL
     python -m casetrace report r9 --model MODEL [--param k=v ...] [--out PATH]
-    python -m casetrace drop   --database DB [--staging NAME]
+    python -m casetrace drop   [--database DB] [--staging NAME] [--model PATH] [--staged PATH]
 
 The session comes from ``spark-submit``/the environment; ``--master`` is only
 for local use.
@@ -19,11 +19,12 @@ import sys
 
 from casetrace.operators.quality import violations
 from casetrace.plans.model import build_model
-from casetrace.plans.reports import REPORTS, original_report
+from casetrace.plans.reports import (REPORTS, original_report, rows_with_count,
+                                     write_with_count)
 from casetrace.session import build_session
-from casetrace.sources.case_feed import load_and_stage
-from casetrace.sources.tables import (append_model, drop_model, drop_staging, read_model,
-                                      write_model)
+from casetrace.sources.case_feed import ON_BAD_MODES, load_and_stage
+from casetrace.sources.tables import (append_model, drop_model, drop_model_folder,
+                                      drop_staged_folder, drop_staging, read_model, write_model)
 
 
 def _typed(value: str, parameter: inspect.Parameter):
@@ -40,7 +41,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--feed", required=True)
     p.add_argument("--staged", required=True)
     p.add_argument("--rejected")
-    p.add_argument("--on-bad", default="null", choices=["null", "drop", "fail"])
+    p.add_argument("--on-bad", default="null", choices=ON_BAD_MODES)
     p = sub.add_parser("build")
     p.add_argument("--staged", required=True)
     p.add_argument("--model", required=True)
@@ -58,6 +59,8 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("drop")
     p.add_argument("--database")
     p.add_argument("--staging")
+    p.add_argument("--model")
+    p.add_argument("--staged")
     args = ap.parse_args(argv)
 
     spark = build_session(args.master)
@@ -93,17 +96,18 @@ def main(argv: list[str] | None = None) -> int:
             df = original_report(model, args.name)
         else:
             df = fn(model, **{k: _typed(v, names[k]) for k, v in params.items()})
-        if args.out:
-            df.write.mode("overwrite").parquet(args.out)
-        else:
-            for row in df.toLocalIterator():
-                print("\t".join("" if v is None else str(v) for v in row))
-            print(f"{df.count()} rows")
+        n = (write_with_count(df, args.out) if args.out else rows_with_count(
+            df, lambda row: print("\t".join("" if v is None else str(v) for v in row))))
+        print(f"{n} rows")
     elif args.cmd == "drop":
         if args.staging:
             drop_staging(spark, args.staging, args.database)
         if args.database:
             drop_model(spark, args.database)
+        if args.staged:
+            drop_staged_folder(spark, args.staged)
+        if args.model:
+            drop_model_folder(spark, args.model)
     return 0
 
 

@@ -8,13 +8,33 @@ from pyspark.sql import functions as F
 from casetrace.schema import SCORE_MAX, SCORE_MIN
 
 
+# Sign, digits before and after the point, exponent.
+_NUMBER = r"^([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d{1,5}))?$"
+
+
 def parse_score(text: Column | str) -> Column:
     """Text -> NUMBER(2) as int: rounded half away from zero, NULL when it is
-    not a number or falls outside -99..99 (never raises)."""
-    col = F.col(text) if isinstance(text, str) else text
-    value = F.nullif(F.trim(col), F.lit("")).try_cast("decimal(38,10)")
-    rounded = F.round(value, 0)
-    return F.when(rounded.between(SCORE_MIN, SCORE_MAX), rounded.cast("int"))
+    not a number or falls outside -99..99 (never raises).
+
+    The decision is made on the digits, so a text of any length is rounded
+    once: the first digit after the point decides.
+    """
+    col = F.trim(F.col(text) if isinstance(text, str) else text)
+    sign, whole, fraction, exponent = [F.regexp_extract(col, _NUMBER, i) for i in (1, 2, 3, 4)]
+    number = col.rlike(_NUMBER) & col.rlike(r"^[+-]?\.?\d")
+    digits = F.concat(whole, fraction)
+    leading = F.regexp_replace(digits, "^0+", "")
+    # digits before the point, without leading zeros; beyond two it is too large
+    point = (F.length(whole) - F.length(digits) + F.length(leading)
+             + F.coalesce(F.nullif(exponent, F.lit("")).try_cast("int"), F.lit(0)))
+    near = F.least(F.greatest(point, F.lit(-1)), F.lit(3))
+    padded = F.concat(F.when(near < 0, F.lit("0")).otherwise(F.lit("")), leading, F.lit("000"))
+    kept = F.greatest(near, F.lit(0))
+    units = F.coalesce(F.nullif(F.substring(padded, F.lit(1), kept), F.lit("")).cast("int"), F.lit(0))
+    up = (F.substring(padded, kept + 1, F.lit(1)) >= "5").cast("int")
+    size = F.when(F.length(leading) == 0, F.lit(0)).when(point <= 2, units + up)
+    value = F.when(sign == "-", -size).otherwise(size)
+    return F.when(number & value.between(SCORE_MIN, SCORE_MAX), value)
 
 
 def exact_percent(part: Column | str, whole: Column | str) -> Column:

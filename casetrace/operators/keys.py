@@ -3,17 +3,20 @@
 ``assign_ids`` numbers rows 1..n in a total order without a single-partition
 exchange:
 
-1. write the rows once into the shared scratch folder: a range exchange reads
-   its input twice (to sample boundaries, then to deal rows), and what stands
-   below must not be computed twice;
-2. range-partition on the order columns and sort within partitions, so
-   partition *i* holds keys that all sort before partition *i+1*; write that as
-   parquet with the partition and the position of each row, so both are fixed
-   and survive executor loss, and later reads take only their columns;
-3. count rows per partition (one row per partition) and turn the counts into
+1. range-partition on the order columns and sort within partitions, so
+   partition *i* holds keys that all sort before partition *i+1*; write that
+   once, as parquet with the partition and the position of each row, so both
+   are fixed and survive executor loss, and later reads take only their
+   columns.  The range exchange reads its input twice, to sample boundaries and
+   to deal rows; below it stands a shuffle (every caller passes distinct or
+   joined rows), whose files serve both readings;
+2. count rows per partition (one row per partition) and turn the counts into
    running offsets - a table with as many rows as there are partitions, the
    only thing that is broadcast;
-4. id = start + offset(partition) + position inside the partition.
+3. id = start + offset(partition) + position inside the partition.
+
+An id is a row's rank in the total order, so it hangs on the data alone and
+not on where the sampled boundaries fall.
 
 The position comes from ``monotonically_increasing_id`` (partition id in the
 upper 31 bits, row position in the lower 33).
@@ -58,9 +61,8 @@ def assign_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str =
     # Without an explicit count the range exchange uses the session's shuffle
     # partitions and AQE merges adjacent small ranges (order is kept), so a
     # 25-row table does not become thousands of empty partitions.
-    once = _written(df, "unordered")
-    ranged = (once.repartitionByRange(num_partitions, *order) if num_partitions
-              else once.repartitionByRange(*order)).sortWithinPartitions(*order)
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order)).sortWithinPartitions(*order)
     tagged = _written(ranged.select("*", F.spark_partition_id().alias(_PID),
                                     F.monotonically_increasing_id().alias(_POS)), "ordered")
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))

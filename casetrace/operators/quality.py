@@ -54,12 +54,21 @@ def unique_check(table: str, df: DataFrame, cols: list[str], rule: str) -> DataF
     return dup.agg(*_row(table, rule, ",".join(cols), F.count(F.lit(1))))
 
 
+def foreign_key_orphans(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
+    """Child keys without a parent row, one row per child row (NULL keys are
+    K4's job)."""
+    return (child.select(F.col(col).alias("k")).where(F.col("k").isNotNull())
+            .join(parent.select(F.col(parent_col).alias("k")), "k", "left_anti"))
+
+
+def foreign_key_check_of(child_name: str, col: str, orphans: DataFrame) -> DataFrame:
+    return orphans.agg(*_row(child_name, "foreign_key", col, F.count(F.lit(1))))
+
+
 def foreign_key_check(child_name: str, child: DataFrame, col: str,
                       parent: DataFrame, parent_col: str) -> DataFrame:
-    """K6: child rows whose key has no parent row (NULL keys are K4's job)."""
-    orphans = (child.select(F.col(col).alias("k")).where(F.col("k").isNotNull())
-               .join(parent.select(F.col(parent_col).alias("k")), "k", "left_anti"))
-    return orphans.agg(*_row(child_name, "foreign_key", col, F.count(F.lit(1))))
+    """K6: child rows whose key has no parent row."""
+    return foreign_key_check_of(child_name, col, foreign_key_orphans(child, col, parent, parent_col))
 
 
 def violations(model) -> DataFrame:
@@ -76,14 +85,60 @@ def violations(model) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def append_violations(fresh: dict[str, DataFrame], existing: dict[str, DataFrame]) -> DataFrame:
+    """The checks of ``violations`` for the rows ``fresh`` that are to be added
+    to ``existing``, a valid model: the same rows as a check of the union gives,
+    but stored rows are only read for their keys.
+
+    A key breaks when new rows repeat it among themselves or a stored row has
+    it; a new child needs a parent among the stored or the new ones.  The
+    natural keys of stored rows may repeat (see ``assert_valid``), so those
+    that already did are counted with the new ones.
+    """
+    def repeated(table: str, columns: list[str], rule: str) -> DataFrame:
+        old = existing[table].select(*columns)
+        new = fresh[table].groupBy(*columns).agg(F.count(F.lit(1)).alias("k"))
+        taken = new.join(old, columns, "left_semi")
+        alone = new.where("k > 1").join(old, columns, "left_anti")
+        broken = taken.unionByName(alone).agg(*_row(table, rule, ",".join(columns), F.count(F.lit(1))))
+        if rule == "primary_key":
+            return broken
+        # stored keys that repeat and gain no new row
+        known = (old.groupBy(*columns).agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+                 .join(new.select(*columns), columns, "left_anti"))
+        return (broken.unionByName(known.agg(*_row(table, rule, ",".join(columns), F.count(F.lit(1)))))
+                .groupBy("table_name", "rule", "column_name").agg(F.sum("n").alias("n")))
+
+    parts = []
+    for name, df in fresh.items():
+        parts.append(column_checks(name, df))
+        parts.append(repeated(name, [ID_COLUMN[name]], "primary_key"))
+    for name in ("associate", "person", "facility", "treatment"):
+        parts.append(repeated(name, INSERT_KEY[name], "natural_key"))
+    for child, col, parent, parent_col in FOREIGN_KEYS:
+        orphans = foreign_key_orphans(fresh[child], col, fresh[parent], parent_col)
+        parts.append(foreign_key_check_of(child, col, orphans.join(
+            existing[parent].select(F.col(parent_col).alias("k")), "k", "left_anti")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _raise_if_broken(checks: DataFrame, ignore_rules: tuple[str, ...]) -> None:
+    bad = checks.where((F.col("n") > 0) & ~F.col("rule").isin(*ignore_rules)).collect()
+    if bad:
+        raise ModelError("model constraint violations: " + "; ".join(
+            f"{r.table_name}.{r.column_name} {r.rule} x{r.n}" for r in bad))
+
+
+def assert_valid_append(fresh: dict[str, DataFrame], existing: dict[str, DataFrame],
+                        ignore_rules: tuple[str, ...] = ("natural_key",)) -> None:
+    """Raise ``ModelError`` when adding ``fresh`` would break a check."""
+    _raise_if_broken(append_violations(fresh, existing), ignore_rules)
+
+
 def assert_valid(model, ignore_rules: tuple[str, ...] = ("natural_key",)) -> None:
     """Raise ``ModelError`` when a check other than ``ignore_rules`` fails.
 
     The natural-key check is informational by default: person variants and a
     facility name at two addresses are legitimate outcomes of the model.
     """
-    bad = (violations(model).where((F.col("n") > 0) & ~F.col("rule").isin(*ignore_rules))
-           .collect())
-    if bad:
-        raise ModelError("model constraint violations: " + "; ".join(
-            f"{r.table_name}.{r.column_name} {r.rule} x{r.n}" for r in bad))
+    _raise_if_broken(violations(model), ignore_rules)

@@ -18,8 +18,8 @@ How the work is laid out on the cluster:
   feed;
 * B7 and B8 de-duplicate before their fan-out joins (a treatment stored with
   several scores, persons sharing a name).  The remaining fan-out is what the
-  model defines; a name shared by very many persons is split by AQE's skew
-  join handling (both sides of the join can be split).
+  model defines; a name shared by very many persons is split by counted pairs
+  (``fanout_join``).
 """
 
 from __future__ import annotations

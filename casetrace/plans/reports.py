@@ -14,7 +14,9 @@ so results are reproducible.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 
 from casetrace.functions.numbers import exact_percent
@@ -210,9 +212,22 @@ def common_contact_by_facility(m: Model) -> DataFrame:
             .orderBy(F.desc("pct"), "name", "address"))
 
 
-def with_row_count(df: DataFrame) -> tuple[DataFrame, int]:
-    """Result rows plus their number; nothing stays cached."""
-    return df, df.count()
+def write_with_count(df: DataFrame, path: str) -> int:
+    """Result rows written to ``path`` and their number, in one run: rows
+    are counted as they are written."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return seen.get["n"]
+
+
+def rows_with_count(df: DataFrame, show: Callable[[Row], None]) -> int:
+    """Every result row given to ``show``, a partition at a time, and their
+    number, in one run."""
+    n = 0
+    for row in df.toLocalIterator():
+        show(row)
+        n += 1
+    return n
 
 
 def original_report(m: Model, name: str) -> DataFrame:

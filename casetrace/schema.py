@@ -166,12 +166,6 @@ MODEL_SCHEMAS: dict[str, T.StructType] = {
 
 MODEL_TABLES = list(MODEL_SCHEMAS)
 
-# Children first: the order tables are dropped in.
-DROP_ORDER = [
-    "contact", "acquaintance", "person_treatment", "person_facility",
-    "person_stay", "facility", "treatment", "associate", "person",
-]
-
 # Primary keys of the four dimensions and the surrogate id of each bridge.
 ID_COLUMN = {
     "associate": "associate_id",
@@ -230,6 +224,10 @@ FOREIGN_KEYS = [
     ("acquaintance", "person_id", "person", "person_id"),
 ]
 
+# Children before the tables they refer to.
+_PARENTS = {parent for _, _, parent, _ in FOREIGN_KEYS}
+DROP_ORDER = sorted(MODEL_SCHEMAS, key=lambda table: (table in _PARENTS, table))
+
 # VARCHAR2 limits (bytes) of the model DDL.
 LENGTH_LIMITS = {
     ("associate", "given"): 50,

@@ -1,6 +1,10 @@
 import datetime as dt
+import decimal
+import random
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
+
 from casetrace.functions import exact_percent, is_deceased, parse_date, parse_score
 
 
@@ -43,3 +47,32 @@ def test_is_deceased_by_status_or_date(spark):
         "status string, died_on date")
     got = [r.x for r in df.select(is_deceased("dead").alias("x")).collect()]
     assert got == [True, True, False]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_scores_against_exact_decimals(spark, seed):
+    """Digits of any length and exponents, rounded once."""
+    rng = random.Random(seed)
+    texts = ["5.49999999995", "5.4" + "9" * 60, "-0.5", "0.5", "99.4999", "99.5", "-99.5", "1e1", "-1.5E+0", ".5",
+             "5.", "1e-1", "49e-1", "4.5e-1", "995e-1", "994e-1", "0e9999", "000012.50", "1e99999", "+7", "1e2",
+             "0.00995e4", "", "-", ".", "e5", "1e", "NaN", "Infinity", "1,5", "0x10", "1 2", "--1", "5d", "9" * 80]
+    for _ in range(300):
+        whole, part = "".join(rng.choices("0159", k=rng.randrange(4))), "".join(rng.choices("0459", k=rng.randrange(30)))
+        exponent = rng.choice(["", "", f"e{rng.randrange(-6, 6)}"])
+        texts.append(rng.choice(["", "-", "+"]) + (whole or "0") + "." + part + exponent)
+
+    def want(text):
+        try:
+            value = Decimal(text) if text[:1] not in "NIs" else None
+        except ArithmeticError:
+            return None
+        if value is None or not value.is_finite():
+            return None
+        if abs(value) >= 1000:
+            return None
+        rounded = int(value.quantize(Decimal(1), ROUND_HALF_UP)) if value else 0
+        return rounded if -99 <= rounded <= 99 else None
+
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", parse_score("t").alias("n")).collect()
+    with decimal.localcontext(prec=200):
+        assert {r.t: r.n for r in rows} == {t: want(t) for t in texts}
