@@ -42,7 +42,7 @@ def _order(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in cols]
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` computed once, as parquet in the shared scratch folder."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
@@ -63,7 +63,7 @@ def assign_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str =
     # 25-row table does not become thousands of empty partitions.
     ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
               else df.repartitionByRange(*order)).sortWithinPartitions(*order)
-    tagged = _written(ranged.select("*", F.spark_partition_id().alias(_PID),
+    tagged = written(ranged.select("*", F.spark_partition_id().alias(_PID),
                                     F.monotonically_increasing_id().alias(_POS)), "ordered")
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
     running = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casetrace.operators.joins import fanout_join
-from casetrace.operators.keys import append_new, lookup_id
+from casetrace.operators.keys import append_new, lookup_id, written
 from casetrace.operators.quality import assert_valid
 from casetrace.schema import ID_COLUMN, ID_ORDER, INSERT_KEY, MODEL_SCHEMAS
 from casetrace.session import scratch_path
@@ -142,7 +142,7 @@ def write_keyed(staging: DataFrame, person: DataFrame, path: str | None = None)
     spark = staging.sparkSession
     path = path or scratch_path(spark, "keyed")
     # the builders read distinct projections, so repeated records go before the lookup
-    distinct = staging.select(*PERSON_KEY, *KEYED_COLUMNS).distinct().checkpoint(eager=True)
+    distinct = written(staging.select(*PERSON_KEY, *KEYED_COLUMNS).distinct(), "distinct")
     attach_person(distinct, person).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -191,9 +191,9 @@ def contact_rows(staging: DataFrame, person: DataFrame, associate: DataFrame) ->
             .select(*PERSON_NAME, *ASSOCIATE_KEY,
                     F.col("contact_kind").alias("kind"), "contact_from", "contact_to")
             .distinct())
-    by_associate = (lookup_id(seen, associate, ASSOCIATE_KEY, "associate_id")
-                    .drop(*ASSOCIATE_KEY)
-                    .checkpoint(eager=True))
+    # read by the count of its names and by the join
+    by_associate = written(lookup_id(seen, associate, ASSOCIATE_KEY, "associate_id")
+                           .drop(*ASSOCIATE_KEY), "contacts")
     persons = person.select("person_id", *[F.col(d).alias(s) for s, d in PERSON_NAME.items()])
     return (fanout_join(by_associate, persons, list(PERSON_NAME))
             .select("kind", "contact_from", "contact_to", "associate_id", "person_id"))
