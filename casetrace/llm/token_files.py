@@ -90,25 +90,26 @@ class ShardWriter:
         self._out = _Output(uri)
         self._out.write(MAGIC + bytes([width]) + b"\0" * 7)
         self._kind = "<u2" if width == 2 else "<u4"
-        self._width = width
-        self._ids: list[int | None] = []
-        self._ends: list[int] = []
-        self.n_ids = 0
-
-    def add(self, doc_id: int | None, raw: bytes) -> tuple[int, int]:
-        ids = np.frombuffer(raw, "<u4")
-        self._out.write(ids.astype(self._kind).tobytes() if self._width == 2 else raw)
-        first = self.n_ids
+        self._keys: list[np.ndarray] = []
+        self._nulls: list[np.ndarray] = []
+        self._ends: list[np.ndarray] = []
+        self.n_ids = self.n_docs = 0
+
+    def add(self, keys: np.ndarray, nulls: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Append documents with ``sizes`` ids each; returns their first ids."""
+        self._out.write(ids.astype(self._kind).tobytes())
+        ends = self.n_ids + np.cumsum(sizes)
         self.n_ids += len(ids)
-        self._ids.append(doc_id)
-        self._ends.append(self.n_ids)
-        return first, len(ids)
+        self.n_docs += len(sizes)
+        self._keys.append(keys)
+        self._nulls.append(nulls)
+        self._ends.append(ends)
+        return ends - sizes
 
     def done(self) -> None:
-        keys = np.array([0 if d is None else d for d in self._ids], "<i8")
-        nulls = np.array([d is None for d in self._ids], np.uint8)
-        self._out.write(keys.tobytes() + nulls.tobytes() + np.array(self._ends, "<i8").tobytes())
-        self._out.write(np.array([len(keys), self.n_ids], "<i8").tobytes())
+        for parts, kind in ((self._keys, "<i8"), (self._nulls, np.uint8), (self._ends, "<i8")):
+            self._out.write(np.concatenate([np.zeros(0, kind), *parts]).astype(kind).tobytes())
+        self._out.write(np.array([self.n_docs, self.n_ids], "<i8").tobytes())
         self._out.done()
 
 
@@ -152,29 +153,33 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int,
         raise ValueError("ids are 2 or 4 bytes wide")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = word_encoder(tokenizer), id_bytes([end_id])
+        encoder = word_encoder(tokenizer)
         shard = TaskContext.get().partitionId()
         writer: ShardWriter | None = None
-        place = 0
         for batch in batches:
             writer = writer or ShardWriter(shard_uri(path, shard), id_width)
-            keys = batch.column(0).to_pylist()
-            put = [writer.add(k, raw + end)
-                   for k, raw in zip(keys, encoder.encode(batch.column(1)))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array([shard] * len(keys), pa.int32()),
-                 pa.array(range(place, place + len(keys)), pa.int64()),
-                 pa.array([a for a, _ in put], pa.int64()),
-                 pa.array([n for _, n in put], pa.int64())],
-                names=PLACED.names)
-            place += len(keys)
+            nulls = np.asarray(batch.column(0).is_null())
+            keys = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
+            for first, tokens, bounds in encoder.encode_slices(batch.column(1)):
+                own = slice(first, first + len(bounds) - 1)
+                sizes = np.diff(bounds) + 1
+                ids = np.full(len(tokens) + len(sizes), end_id, "<u4")
+                text = np.ones(len(ids), bool)
+                text[np.cumsum(sizes) - 1] = False
+                ids[text] = tokens
+                place = writer.n_docs + np.arange(len(sizes))
+                starts = writer.add(keys[own], nulls[own], ids, sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[own], pa.int64(), mask=nulls[own]),
+                     pa.array(np.full(len(sizes), shard, np.int32)), pa.array(place, pa.int64()),
+                     pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], names=PLACED.names)
         if writer:
             writer.done()
 
     keyed = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).select(
         "doc_id", "text", F.xxhash64("text").alias("__h"),
-        # copies of one row are spread over neighbouring ranges if they are very many
-        (F.monotonically_increasing_id() % 1009).alias("__salt"))
+        # copies of one row may be cut between ranges wherever they are very many
+        F.monotonically_increasing_id().alias("__salt"))
     order = ["doc_id", "__h", "__salt"]
     return frozen(keyed.repartitionByRange(shards, *order).sortWithinPartitions(*order)
                   .select("doc_id", "text").mapInArrow(write, PLACED))
