@@ -40,6 +40,18 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
                       == F.lit(remainder), F.lit(False))
 
 
+def packed(df: DataFrame, used: Sequence[str]) -> DataFrame:
+    """``df`` with its ``used`` columns in the open and all others in one
+    struct, so that no column an operator adds can clash with them."""
+    others = [F.col(f"`{c}`") for c in df.columns if c not in used]
+    return df.select(*used, F.struct(*others or [F.lit(0).alias("none")]).alias("__others"))
+
+
+def unpacked(df: DataFrame, columns: Sequence[str], used: Sequence[str]) -> DataFrame:
+    """The columns that ``packed`` was given, in their order."""
+    return df.select(*[F.col(c) if c in used else F.col(f"__others.`{c}`").alias(c) for c in columns])
+
+
 def require(df: DataFrame, columns: Sequence[str]) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:

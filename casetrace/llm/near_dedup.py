@@ -1,9 +1,9 @@
 """Near-duplicates by SuperMinHash, banding, verification and union-find.
 
 A document's set is its distinct 5-word shingles (A-Z lower-cased; a shorter
-text is one shingle).  Equal sets collapse first, by a hash of the set, so a
-group of copies costs one member whatever its size.  Then, for the different
-sets:
+text is one shingle).  Equal sets collapse first, by a hash of the set: bands,
+buckets and links are made of one member of a group of copies whatever its
+size.  Then, for the different sets:
 
 1. signature: SuperMinHash.  In round j every element takes the j-th place of
    its own random permutation and proposes j plus a random fraction there; a
@@ -21,12 +21,14 @@ sets:
    kept, never all pairs;
 5. components of the confirmed links.
 
-Result for odd input: a null, blank or wordless text has an empty set and
-links to nothing; a null ``doc_id`` takes no part in linking (its component is
-null and it is kept); repeated rows share a component and, if the component's
-id is theirs, are all kept; different texts under one ``doc_id`` are judged
-each for itself; an empty table gives no rows; very long texts are
-read whole; other columns travel along unless named like the output.
+Result for odd input: a null, blank or wordless text has an empty set, links
+to nothing and is kept; a null ``doc_id`` links like any other and counts as
+the greatest, so a component's id is null only where all its ids are; an empty
+table gives no rows; very long texts are read whole; other columns travel
+along.  ``near_duplicates`` marks as kept every row whose id is its
+component's.  ``keep`` leaves one row of each component: of different texts
+under its id the one with the least hash, of rows that are the same in id and
+text any one.
 """
 
 from __future__ import annotations
@@ -38,12 +40,13 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casetrace.llm.common import frozen, require, struct
 from casetrace.llm.components import components
+from casetrace.llm.skew import join_to_unique
 from casetrace.llm.words import (find_words, hash_spans, lower_ascii, mix, shingle_hashes,
                                  text_slices)
 
@@ -189,22 +192,27 @@ def _similar_sets(pdf: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     return forest(links)
 
 
-def _edges(members: DataFrame, group: str, columns: list[str], find: Callable,
-           per_task: int) -> DataFrame:
-    """Run ``find`` over the members of every ``group`` and return its edges
-    (a, b).  Groups above ``BLOCK`` members are dealt to pairs of blocks, so a
-    task holds a few blocks at most; small groups share a task."""
-    sized = members.join(members.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
-                         .where("__n > 1"), group)
+def _edges(members: DataFrame, payload: DataFrame, find: Callable, per_task: int,
+           bytes_per_task: int = 64 << 20) -> DataFrame:
+    """Run ``find`` over the ``members`` (c, group; stored) of every group with
+    their ``payload`` (one row per c) and return its edges (a, b).  Groups above
+    ``BLOCK`` members are dealt to pairs of blocks, so a task holds a few
+    blocks at most; small groups share a task."""
+    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    sized = join_to_unique(members, sizes, "group", members.count())
     blocks = F.ceil(F.col("__n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("c", F.lit(5)), blocks).cast("int")
     # block i meets block j once: as (i, j) and (j, i) under one name
-    dealt = sized.select(group, "c", *columns, own.alias("__own"), F.explode(
+    dealt = sized.select("group", "c", own.alias("__own"), F.explode(
         F.sequence(F.lit(0), blocks - 1)).alias("__other"))
-    pair = dealt.select("c", *columns, F.xxhash64(
-        group, F.least("__own", "__other"), F.greatest("__own", "__other")).alias("__pair"))
-    pair = frozen(pair)
-    tasks = max(1, -(-pair.count() // per_task))
+    pair = frozen(dealt.select("c", F.xxhash64(
+        "group", F.least("__own", "__other"), F.greatest("__own", "__other")).alias("__pair"))
+        .join(payload, "c"))
+    heavy = [c for c in payload.columns if c != "c"]
+    size = sum((F.octet_length(c) if kind in ("string", "binary") else F.lit(8))
+               for c, kind in payload.dtypes if c in heavy)
+    rows, volume = pair.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    tasks = max(1, -(-rows // per_task), -(-volume // bytes_per_task))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -224,6 +232,12 @@ def _named(docs: DataFrame) -> DataFrame:
         "text_hash", F.xxhash64("text"))
 
 
+def _keys(doc_id: str = "doc_id") -> list[Column]:
+    """The id as two columns without nulls, which a join can compare."""
+    return [F.coalesce(F.col(doc_id).cast("long"), F.lit(0)).alias("__id"),
+            F.col(doc_id).isNull().alias("__none")]
+
+
 def features(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Set size, set name ``c``, bands and signature of every document, frozen."""
     require(docs, ["doc_id", "text"])
@@ -237,62 +251,66 @@ def features(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def links(docs: DataFrame, found: DataFrame,
           percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Classes (``c``, ``first_id``, ``first_text``: least document with that set) and the
-    confirmed links between different sets (a, b), as a spanning forest."""
-    linked = found.where("c is not null and doc_id is not null")
-    classes = frozen(linked.groupBy("c").agg(F.min(
-        F.struct("doc_id", "text_hash")).alias("first")).select(
-        "c", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_text")))
+    """Classes (``c``, ``first``: none, doc_id and text_hash of the least
+    document with that set) and the confirmed links between different sets
+    (a, b), as a spanning forest."""
+    classes = frozen(found.where("c is not null").groupBy("c").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first"),
+        *[F.first(x).alias(x) for x in ("n_shingles", "bands", "signature")]))  # equal in a class
     # buckets that at least two different sets share
-    banded = linked.select("c", F.explode("bands").alias("band"))
-    shared = (banded.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-              .where("lo < hi").select("band"))
-    buckets = banded.join(shared, "band").distinct()
-    # one row per set
-    signed = linked.join(classes.select("c", F.col("first_id").alias("doc_id")),
-                         ["c", "doc_id"]).select("c", "n_shingles", "signature").distinct()
-    alike = _edges(buckets.join(signed, "c"), "band", ["n_shingles", "signature"],
+    banded = classes.select("c", F.explode("bands").alias("group"))
+    shared = (banded.groupBy("group").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+              .where("lo < hi").select("group"))
+    alike = _edges(frozen(banded.join(shared, "group")), classes.select("c", "n_shingles", "signature"),
                    functools.partial(_similar_signatures, percent=percent), 4_000)
-    clusters = components(alike).select(F.col("node").alias("c"), F.col("root").alias("cluster"))
+    clusters = frozen(components(alike).select(F.col("node").alias("c"), F.col("root").alias("group")))
     # the text of one document per set
-    chosen = clusters.join(classes, "c").select(
-        "c", "cluster", F.col("first_id").alias("doc_id"), F.col("first_text").alias("text_hash"))
-    texts = (_named(docs).join(chosen, ["doc_id", "text_hash"]).select("c", "cluster", "text").dropDuplicates(["c"]))
-    return classes, _edges(texts, "cluster", ["text"],
-                           functools.partial(_similar_sets, percent=percent), 400)
+    chosen = clusters.join(classes, "c").select("c", *_keys("first.doc_id"), F.col("first.text_hash").alias("text_hash"))
+    texts = (_named(docs).select(*_keys(), "text_hash", "text").join(chosen, ["__id", "__none", "text_hash"])
+             .select("c", "text").dropDuplicates(["c"]))
+    return classes.select("c", "first"), _edges(
+        clusters, texts, functools.partial(_similar_sets, percent=percent), 400)
 
 
 def _judged(docs: DataFrame, percent: int) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, component_id, kept`` of every document."""
+    """``doc_id, text_hash, n_shingles, c`` of every row and ``lead``, the
+    least document of its component (none, doc_id, text_hash)."""
     found = features(docs, percent)
     classes, linked = links(docs, found, percent)
     groups = components(linked)
-    named = classes.join(groups.withColumnRenamed("node", "c"), "c", "left").withColumn(
-        "root", F.coalesce("root", "c"))
-    least = named.groupBy("root").agg(F.min(F.struct("first_id", "c")).alias("lead"))
-    of_class = named.join(least, "root").select(
-        "c", F.col("lead.first_id").alias("component_id"), (F.col("c") == F.col("lead.c")).alias("leads"))
-    # empty sets belong to no class; they stay out of the join
+    named = frozen(classes.join(groups.withColumnRenamed("node", "c"), "c", "left").withColumn(
+        "root", F.coalesce("root", "c")))
+    n = named.count()
+    least = named.groupBy("root").agg(F.min("first").alias("lead"))
+    of_class = join_to_unique(named, least, "root", n).select("c", "lead")
     rows = found.select("doc_id", "text_hash", "n_shingles", "c")
-    joined = rows.where("c is not null").join(of_class, "c", "left").unionByName(
-        rows.where("c is null").withColumn("component_id", F.lit(None).cast("long"))
-        .withColumn("leads", F.lit(True)))
-    return (joined.withColumn("component_id", F.when(F.col("doc_id").isNotNull(),
-                                                     F.coalesce("component_id", "doc_id")))
-            .withColumn("kept", F.coalesce(
-                (F.col("component_id") == F.col("doc_id")) & F.coalesce("leads", F.lit(True)),
-                F.lit(True)) | F.col("doc_id").isNull())
-            .select("doc_id", "text_hash", "n_shingles", "component_id", "kept"))
+    # empty sets belong to no class; each of their rows leads itself
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    return join_to_unique(rows.where("c is not null"), of_class, "c", found.count()).unionByName(
+        rows.where("c is null").withColumn("lead", own))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document."""
-    return _judged(docs, percent).drop("text_hash")
+    return _judged(docs, percent).select(
+        "doc_id", "n_shingles", F.col("lead.doc_id").alias("component_id"),
+        F.col("doc_id").eqNullSafe(F.col("lead.doc_id")).alias("kept"))
 
 
 def keep(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each group: that with the least id."""
-    copies = (_judged(docs, percent).where(~F.col("kept"))
-              .select("doc_id", F.col("text_hash").alias("__text")).distinct())
-    return docs.withColumn("__text", F.xxhash64(F.col("text").cast("string"))).join(
-        copies, ["doc_id", "__text"], "left_anti").select(*docs.columns)
+    """``docs`` with one row of each component: that with the least id."""
+    judged = frozen(_judged(docs, percent).select(
+        *_keys(), "text_hash", "c", (F.col("doc_id").eqNullSafe(F.col("lead.doc_id"))
+                                     & (F.col("text_hash") == F.col("lead.text_hash"))).alias("leads")))
+    key = ["__id", "__none", "__text"]
+    names = [*judged.columns[:2], F.col("text_hash").alias("__text")]
+    copies = judged.where(~F.col("leads")).select(*names).distinct()
+    repeated = frozen(judged.where("leads and c is not null").groupBy(*key[:2], "text_hash")
+                      .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*names))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    left = docs.select(F.struct(*columns).alias("__row"), *_keys(),
+                       F.xxhash64(F.col("text").cast("string")).alias("__text")).join(copies, key, "left_anti")
+    if repeated.isEmpty():
+        return left.select("__row.*")
+    one = left.join(repeated, key, "left_semi").groupBy(*key).agg(F.first("__row").alias("__row"))
+    return left.join(repeated, key, "left_anti").select("__row.*").unionByName(one.select("__row.*"))

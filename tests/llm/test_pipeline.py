@@ -22,7 +22,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def components(rows):
-    """Least id reachable over links of 85 per cent, from all pairs that share a shingle."""
+    """Least id reachable over links of 80 per cent, from all pairs that share a shingle."""
     sets, holders = {}, defaultdict(list)
     for r in rows:
         w = words(r.text)
@@ -33,7 +33,7 @@ def components(rows):
     root = {i: i for i in sets}
     for a, b in sorted(pairs):
         both = len(sets[a] & sets[b])
-        if 100 * both >= 85 * len(sets[a] | sets[b]):
+        if 100 * both >= 80 * len(sets[a] | sets[b]):
             low, high = sorted((root[a], root[b]))
             root = {i: low if r == high else r for i, r in root.items()}
     return root
@@ -135,4 +135,7 @@ def test_odd_documents_pass_through_every_stage(spark, stages):
         assert stage(spark, docs, SF).count() >= 0
         assert stage(spark, docs.limit(0), SF).count() == 0
     dedup = P.near_duplicates(spark, docs, SF)
-    assert dedup.columns == docs.columns and dedup.count() == len(docs.collect())
+    assert dedup.columns == docs.columns
+    # one of the two equal rows goes; the text without an id is 0.97 like theirs and goes too
+    assert sorted((r.doc_id or -1, r.text or "") for r in dedup.collect()) == [
+        (-1, ""), (1, ""), (2, " \n"), (3, text)]
