@@ -2,10 +2,11 @@
 
 Statistics of each whole text (class shares, word lengths, repeats, ...) are
 standardised and mapped to ``cos(Wx + b)`` features, which approximate a
-Gaussian kernel.  Every partition sums its own normal equations; their rows are
-added by Spark, and the driver solves one small system.  Raw scores of the
-training rows are then counted in fixed bins and fitted by pool-adjacent-
-violators, which gives a calibrated, rising score from 0 to 1.
+Gaussian kernel.  Every partition sums its own normal equations; the sums are
+added up as a tree, and the driver solves one small system.  One in
+``CALIBRATION`` of the training rows is held back from that: their raw scores
+are counted in fixed bins and fitted by pool-adjacent-violators, which gives a
+calibrated, rising score from 0 to 1.
 
 Only the statistics are inputs: never ids, labels, languages or sources.
 
@@ -13,8 +14,9 @@ Result for odd input: a null or empty text has all-zero counts and a score
 like any other; repeated rows are scored alike and weigh as often as they
 occur; labels that are null, unknown or of unknown documents are not used;
 conflicting labels of one document average to their mean; with no usable label
-the score is 0.5; an empty table gives no rows; other columns travel along,
-except those named like the output.
+the score is 0.5; where the held-back part has fewer than ``LEAST_HELD`` rows
+on either side, all rows are fitted and all calibrate; an empty table gives no rows; other columns travel along (``with_features``
+and ``classify`` replace those named like their output, ``keep`` none).
 """
 
 from __future__ import annotations
@@ -24,12 +26,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casetrace.llm.common import frozen, require
+from casetrace.llm.common import frozen, packed, require, unpacked
 from casetrace.llm.divergence import COMMON_WORDS
 from casetrace.llm.doc_stats import CLASS_COLUMNS, share, with_classes, with_repeats, with_words
+from casetrace.llm.sums import sum_arrays
 
 FEATURES = ["f_words", "f_word_chars", "f_distinct", "f_repeats", "f_dup_lines", "f_common",
             "f_line_words"] + [f"f_{c}" for c in CLASS_COLUMNS]
@@ -37,6 +41,8 @@ _SCRATCH = [*CLASS_COLUMNS, "n_chars_read", "n_words", "n_dup_lines", "n_repeat_
 BINS = 1000
 _LOW, _HIGH = -0.5, 1.5
 THRESHOLD = 0.3
+CALIBRATION = 5
+LEAST_HELD = 100
 
 
 def with_features(docs: DataFrame) -> DataFrame:
@@ -104,12 +110,16 @@ def fit(labelled: DataFrame, features: int = 128, bandwidth: float = 3.0,
         ridge: float = 1e-4, seed: int = 7) -> Model:
     """Fit on rows with the ``f_...`` columns and ``label`` (0 to 1).
 
-    All labelled rows are used.  What reaches the driver has a fixed size:
-    means, ``features`` + 1 rows of the normal equations, and ``BINS`` counts.
+    All labelled rows are used, for the equations or for the calibration.
+    What reaches the driver has a fixed size: means, the normal equations and
+    ``BINS`` counts.
     """
     rows = frozen(labelled.where(F.col("label").isNotNull())
-                  .select(*FEATURES, F.col("label").cast("double").alias("label")))
-    stats = rows.agg(F.count(F.lit(1)).alias("n"),
+                  .select(*FEATURES, F.col("label").cast("double").alias("label"))
+                  # equal rows are held back together, whatever their order
+                  .withColumn("back", F.pmod(F.xxhash64(*FEATURES), F.lit(CALIBRATION)) == 0))
+    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("back") & (F.col("label") > 0.5)).alias("good"),
+                     F.count_if(F.col("back") & (F.col("label") <= 0.5)).alias("bad"),
                      *[F.avg(f).alias(f"m_{f}") for f in FEATURES],
                      *[F.stddev_pop(f).alias(f"s_{f}") for f in FEATURES]).first()
     empty = np.zeros(0)
@@ -122,35 +132,37 @@ def fit(labelled: DataFrame, features: int = 128, bandwidth: float = 3.0,
                   rng.normal(size=(len(FEATURES), features)) / bandwidth,
                   rng.uniform(0, 2 * np.pi, features), empty, empty)
 
-    def equations(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    whole = min(stats["good"], stats["bad"]) < LEAST_HELD
+
+    def read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
+        return np.column_stack(columns[:-2]).reshape(-1, len(FEATURES)), columns[-2], columns[-1]
+
+    def equations(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         total = np.zeros((features + 1, features + 2))
-        for pdf in batches:
-            z = start.mapped(pdf[FEATURES].to_numpy())
+        for batch in batches:
+            x, label, back = read(batch)
+            z = start.mapped(x[~back | whole])
             total[:, :-1] += z.T @ z
-            total[:, -1] += z.T @ pdf["label"].to_numpy()
-        yield pd.DataFrame({"i": range(features + 1), "row": list(total)})
+            total[:, -1] += z.T @ label[~back | whole]
+        return total
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"i": pdf["i"].iloc[:1], "row": [np.sum(np.stack(pdf["row"]), axis=0)]})
-
-    schema = "i long, row array<double>"
-    summed = (rows.mapInPandas(equations, schema).groupBy("i").applyInPandas(add, schema)
-              .orderBy("i").collect())
-    system = np.array([r["row"] for r in summed])
+    system = sum_arrays(rows, equations, (features + 1, features + 2))
     weights = np.linalg.solve(system[:, :-1] + ridge * stats["n"] * np.eye(features + 1),
                               system[:, -1])
     fitted = Model(start.mean, start.scale, start.weights, start.phases, weights, empty)
 
-    def bins(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            at = (fitted.raw(pdf[FEATURES].to_numpy()) - _LOW) * BINS / (_HIGH - _LOW)
-            yield pd.DataFrame({"bin": np.clip(at, 0, BINS - 1).astype(np.int64),
-                                "label": pdf["label"]})
-
-    counts, sums = np.zeros(BINS), np.zeros(BINS)
-    for r in (rows.mapInPandas(bins, "bin long, label double").groupBy("bin")
-              .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("s")).collect()):
-        counts[r["bin"]], sums[r["bin"]] = r["n"], r["s"]
+    def bins(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        held = np.zeros((2, BINS))
+        for batch in batches:
+            x, label, back = read(batch)
+            use = back | whole
+            at = (fitted.raw(x[use]) - _LOW) * BINS / (_HIGH - _LOW)
+            at = np.clip(at, 0, BINS - 1).astype(np.int64)
+            held += [np.bincount(at, minlength=BINS), np.bincount(at, label[use], BINS)]
+        return held
+
+    counts, sums = sum_arrays(rows, bins, (2, BINS))
     return Model(start.mean, start.scale, start.weights, start.phases, weights,
                  rising(sums, counts))
 
@@ -181,7 +193,7 @@ def keep(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFra
     more, with their columns.  The row number keeps the filter above the
     statistics; pushed below them it would repeat every expression it is made
     of, inside the scoring function's arguments."""
-    numbered = with_features(docs).withColumn("__row", F.monotonically_increasing_id())
+    numbered = with_features(packed(docs, ["text"])).withColumn("__row", F.monotonically_increasing_id())
     scored = numbered.withColumn("score", score_column(model))
-    return scored.where((F.col("score") >= threshold) & (F.col("__row") >= 0)).select(
-        *docs.columns)
+    return unpacked(scored.where((F.col("score") >= threshold) & (F.col("__row") >= 0)),
+                    docs.columns, ["text"])

@@ -25,7 +25,7 @@ weakest cut; a phrase that lies mostly (``inside_percent``) inside one longer
 frequent phrase is dropped.  Products are decimals, so they are exact beyond
 64 bits.
 
-Within one slice of text (about 4 MB) n-grams are told apart by 64-bit hashes,
+Within one slice of text (about 1 MB) n-grams are told apart by 64-bit hashes,
 beyond it by their text.
 
 Result for odd input: a null, blank or empty text has no words; a null
@@ -57,8 +57,9 @@ SCALE = 2_000_000
 PARTITION_MASS = 1 << 26
 FILTER_BITS = 1 << 28
 _HASH_BITS = 48
-_FLUSH = 4_000_000
-_SLICE = 4_000_000
+_FLUSH = 1_000_000
+_PIECE = 256  # keys a row, so that a batch of rows stays small
+_SLICE = 1_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 # Bytes between words (1) and between pieces (2).
@@ -195,8 +196,9 @@ def _survivors(docs: DataFrame, buckets_log2: int, threshold: int, longest: int)
             cuts = np.searchsorted(keys >> shift, np.arange((1 << buckets_log2) + 1))
             rows = []
             for b in np.flatnonzero(np.diff(cuts)).tolist():
-                k, c = keys[cuts[b]:cuts[b + 1]], counts[cuts[b]:cuts[b + 1]]
-                rows += [(b, int(c.sum()), None), (b, None, _pack(k, c))]
+                rows.append((b, int(counts[cuts[b]:cuts[b + 1]].sum()), None))
+                rows += [(b, None, _pack(keys[i:min(i + _PIECE, cuts[b + 1])], counts[i:min(i + _PIECE, cuts[b + 1])]))
+                         for i in range(cuts[b], cuts[b + 1], _PIECE)]
             yield _record(rows, PARTIALS)
 
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -219,21 +221,21 @@ def _survivors(docs: DataFrame, buckets_log2: int, threshold: int, longest: int)
             return _record([(bucket, len(keys), _pack(keys, np.ones(len(keys), np.int64)))], SURVIVORS)
 
         for batch in batches:
-            for at, own, body in zip(*[batch.column(i) for i in range(3)]):
-                if at.as_py() != bucket:
+            for at, own, body in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+                if at != bucket:
                     if summary:
                         yield result()
-                    bucket, mass, summary = at.as_py(), 0, None
-                if not body.is_valid:  # the masses come first
-                    mass += own.as_py()
+                    bucket, mass, summary = at, 0, None
+                if body is None:  # the masses come first
+                    mass += own
                     continue
                 summary = summary or Summary(mass // threshold + 1)
-                summary.add(*_unpack(body.as_py()))
+                summary.add(*_unpack(body))
         if summary:
             yield result()
 
     partials = docs.mapInArrow(partial, PARTIALS)
-    return frozen(partials.repartition("bucket")
+    return frozen(partials.repartition(1 << buckets_log2, "bucket")
                   .sortWithinPartitions("bucket", F.col("mass").asc_nulls_last())
                   .mapInArrow(summarise, SURVIVORS))
 

@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casetrace.llm.common import frozen, require
+from casetrace.llm.common import frozen, packed, require, unpacked
 from casetrace.llm.doc_stats import (CLASS_COLUMNS, share, with_classes, with_repeats, with_words)
 
 # The most common words of each language.
@@ -206,11 +206,13 @@ def keep(docs: DataFrame, limits: Limits | None = None, robust: bool = False) ->
     twice, for the references and for the verdict, so that no text crosses the
     network."""
     limits = limits or Limits()
-    stats = histograms(_plain(docs, limits), limits.words)
+    used = ["doc_id", "text", "lang"]
+    require(docs, used)
+    stats = histograms(packed(docs, used), limits.words)
     referred = _with_references(stats, stats.withColumn("__text", F.xxhash64("text")), limits,
                                 robust)
     # the row number keeps the filter above the counts; pushed below them it
     # would repeat every expression it is made of
     judged = _with_verdict(referred, limits, robust).withColumn(
         "__row", F.monotonically_increasing_id())
-    return judged.where(F.col("kept") & (F.col("__row") >= 0)).select(*docs.columns)
+    return unpacked(judged.where(F.col("kept") & (F.col("__row") >= 0)), docs.columns, used)

@@ -15,7 +15,7 @@ pytest.importorskip("casetrace.llm")
 import public_tokenizers  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
-from casetrace.llm import (classifier, decontamination, divergence, near_dedup, packing,  # noqa: E402
+from casetrace.llm import (classifier, components, decontamination, divergence, near_dedup, packing,  # noqa: E402
                            ppm, preference, sharding, token_files, tokens, url_rules)
 
 TEXTS = [None, "", " \n ", "one", "The cat sat on the mat, it's 12 mats.\nThe cat sat on the mat.",
@@ -42,7 +42,7 @@ def test_word_by_word_ids_equal_whole_text_ids(name):
     whole = Tokenizer.from_file(path)
     whole.encode_special_tokens = True
     texts = TEXTS + ["it's\nA b", "\na", "a\n", "a \nb", "tab\there", "<|endoftext|> a</w>", "\x1cq r"]
-    got = list(tokens.WordEncoder(path, memo_words=5).encode(pa.array(texts, pa.string())))
+    got = list(tokens.WordEncoder(path, memo_pieces=5).encode(pa.array(texts, pa.string())))
     want = [tokens.id_bytes(whole.encode(t or "", add_special_tokens=False).ids) for t in texts]
     assert got == want
 
@@ -88,6 +88,54 @@ def test_classifier_learns_and_survives_no_labels(spark):
     assert len(odd) == 12 and {r.score for r in odd} == {0.5}
 
 
+def test_classifier_against_numpy(spark):
+    """The fit from its definition: equations over all fitted rows at once and
+    the isotonic fit by its min-max formula."""
+    rng = np.random.default_rng(11)
+    n = 1600
+    x = rng.normal(size=(n, len(classifier.FEATURES)))
+    x[:, 3] = 2.0  # no spread
+    label = (x[:, 0] + 0.5 * rng.normal(size=n) > 0).astype(float)
+    rows = spark.createDataFrame([(*map(float, r), v) for r, v in zip(x, label.tolist())],
+                                 [*classifier.FEATURES, "label"]).repartition(5)
+    model = classifier.fit(rows, features=32)
+    back = {tuple(r[:-1]) for r in rows.withColumn("b", F.pmod(F.xxhash64(*classifier.FEATURES), F.lit(
+        classifier.CALIBRATION)) == 0).where("b").drop("label").collect()}
+    held = np.array([tuple(r) in back for r in x.tolist()])
+    assert 100 < held.sum() < 600
+    z = (x - x.mean(0)) / np.where(x.std(0) > 0, x.std(0), 1)
+    draw = np.random.default_rng(7)
+    w, b = draw.normal(size=(x.shape[1], 32)) / 3.0, draw.uniform(0, 2 * np.pi, 32)
+    phi = np.column_stack([np.cos(np.clip(z, -8, 8) @ w + b) * np.sqrt(2 / 32), np.ones(n)])
+    fit = phi[~held]
+    ridge = np.linalg.solve(fit.T @ fit + 1e-4 * n * np.eye(33), fit.T @ label[~held])
+    raw = phi @ ridge
+    assert np.allclose(model.raw(x), raw, atol=1e-8)
+    at = np.clip((raw + 0.5) * 500, 0, 999).astype(int)
+    used = sorted(set(at[held]))
+    sums = np.array([label[held & (at == i)].sum() for i in used])
+    counts = np.array([(held & (at == i)).sum() for i in used])
+    steps = [max(min(sums[a:c + 1].sum() / counts[a:c + 1].sum() for c in range(i, len(used)))
+                 for a in range(i + 1)) for i in range(len(used))]
+    want = np.interp(raw, -0.5 + (np.arange(1000) + 0.5) / 500, np.interp(np.arange(1000), used, steps))
+    assert np.allclose(model.score(x), want, atol=1e-6)
+
+
+def test_stages_keep_columns_that_clash_with_their_own(spark):
+    names = ["n_words", "f_words", "score", "predicted", "w_0", "w_rest", "n_lower", "n_chars_read", "kept",
+             "__words", "__lang", "__row", "base_failed", "__rest", "lang"]
+    text = " ".join(f"word{i}" for i in range(120))
+    docs = spark.createDataFrame([(1, text, *["mine"] * len(names)), (2, text + " end", *["mine"] * len(names))],
+                                 ["doc_id", "text", *names])
+    model = classifier.fit(classifier.with_label(classifier.with_features(docs.select("doc_id", "text")),
+                                                 spark.createDataFrame([(1, 1), (2, 1)], ["doc_id", "quality"]), "quality"))
+    for stay in (classifier.keep(docs, model), divergence.keep(docs), divergence.keep(docs, robust=True),
+                 near_dedup.keep(docs)):
+        assert stay.columns == docs.columns
+        rows = stay.collect()
+        assert rows and all(r[2:] == ("mine",) * len(names) for r in rows)
+
+
 def test_rising_steps():
     got = classifier.rising(np.array([0, 2, 1, 3.0]), np.array([2, 2, 2, 3.0]))
     assert np.allclose(got, [0, 0.75, 0.75, 1])
@@ -119,6 +167,32 @@ def test_near_duplicates_against_all_pairs(spark):
     assert near_dedup.near_duplicates(documents(spark)).where("doc_id is null and kept").count() == 1
 
 
+def test_one_row_of_each_group_stays_and_null_ids_link(spark):
+    a, b = [" ".join(f"{p}{i}" for i in range(300)) for p in "ab"]
+    near = " ".join(["other", *a.split()[1:]])
+    docs = spark.createDataFrame(
+        [(None, a, "x"), (None, a, "x"), (None, a, "y"), (4, near, "z"), (None, b, "z"), (None, b, "z"),
+         (None, None, "n"), (None, None, "n"), (6, "", "n"), (7, "e f", "k"), (7, "e f", "k"), (9, "e f", "k")],
+        "doc_id long, text string, kept string")
+    stay = near_dedup.keep(docs)
+    assert stay.columns == docs.columns
+    assert sorted((r.doc_id or -1, r.text or "") for r in stay.collect()) == sorted(
+        [(4, near), (-1, b), (-1, ""), (-1, ""), (6, ""), (7, "e f")])
+    judged = near_dedup.near_duplicates(docs).collect()
+    assert all(r.kept == (r.doc_id == r.component_id) for r in judged)
+    assert sorted((r.component_id or -1) for r in judged) == [-1] * 4 + [4] * 4 + [6] + [7] * 3
+
+
+def test_a_hub_keeps_its_edges_and_every_component_its_least_node(spark):
+    rng = np.random.default_rng(0)
+    edges = [(0, i) for i in range(1, 5000)] + [(9000, i) for i in range(9001, 13000)] + [(4999, 9001)]
+    edges += [(20_000 + i, 20_001 + i) for i in range(60)]
+    rng.shuffle(edges)
+    got = {r.node: r.root for r in components.components(
+        spark.createDataFrame([(int(a), int(b)) for a, b in edges], "a long, b long")).collect()}
+    assert got == {i: 0 if i < 20_000 else 20_000 for pair in edges for i in map(int, pair)}
+
+
 def test_super_min_hash_estimates_similarity():
     rng = np.random.default_rng(1)
     pool = rng.integers(0, 1 << 62, 900, dtype=np.uint64)
