@@ -11,7 +11,8 @@ a histogram is only judged when the text is long enough to fill it.
 With ``robust`` a reference is the mean share of each bin over the texts that
 pass the base rules, every distinct text once, so neither copies nor long or
 broken texts pull it; each value of ``lang`` has its own, listed or not, and a
-null ``lang`` has none, so neither distance rejects its texts.  Without, it is the plain sum that ``op2``'s SQL states.
+null ``lang`` has none, so neither distance rejects its texts.  ``op2`` and
+the pipeline use it.  Without, a reference is the plain sum.
 
 Result for odd input: a null or blank text has no words and fails the base
 rule; a null or unknown language uses the shared reference; repeated rows are

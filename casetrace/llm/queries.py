@@ -35,7 +35,7 @@ def op1_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the Jensen-Shannon verdict of all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return divergence.judge(docs).select(
+    return divergence.judge(docs, robust=True).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", F.round("class_distance", 6).alias("class_distance"),
         F.round("word_distance", 6).alias("word_distance"))
@@ -139,7 +139,7 @@ def _op2_sql() -> str:
             ("rest", r"[\x00-\x08\x0E-\x1F+/=@\[\\\]^_`{}~\x7F]")))
     return rf"""
 WITH d AS (
-  SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS k,
+  SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS k, lang AS own,
          CASE WHEN lang IN ('en', 'de', 'fr', 'es') THEN lang ELSE '*' END AS lang
   FROM documents
 ), w AS (
@@ -175,33 +175,39 @@ WITH d AS (
 ), bins AS (
   SELECT 'word' AS kind, k, lang, coalesce(bin, '') AS bin, n FROM word_bins
   UNION ALL SELECT 'class', k, lang, bin, n FROM class_bins
+), counted AS (
+  SELECT d.k, d.own, d.t, len(w.ws) AS n_words, coalesce(l.n, 0) AS n_dup_lines,
+         coalesce(r.n, 0) AS n_repeat_words,
+         len(w.ws) < {limits.min_words}
+         OR 100 * coalesce(r.n, 0) > {limits.max_repeat_percent} * len(w.ws) AS base_failed
+  FROM d JOIN w USING (k) LEFT JOIN lines l USING (k) LEFT JOIN repeats r USING (k)
+), once AS (
+  SELECT min(k) AS k FROM counted WHERE NOT base_failed AND own IS NOT NULL GROUP BY own, t
+), shares AS (
+  SELECT kind, k, bin, coalesce(n / nullif(sum(n) OVER (PARTITION BY kind, k), 0), 0) AS p
+  FROM bins
 ), reference AS (
-  SELECT kind, lang, bin, n / greatest(sum(n) OVER (PARTITION BY kind, lang), 1) AS q
-  FROM (SELECT kind, lang, bin, sum(n) AS n FROM bins GROUP BY ALL)
+  SELECT kind, own, bin, avg(p) AS q FROM shares JOIN once USING (k) JOIN d USING (k) GROUP BY ALL
 ), pq AS (
-  SELECT b.kind, b.k, r.q, coalesce(b.n / nullif(sum(b.n) OVER (PARTITION BY b.kind, b.k), 0), 0)
-    AS p
-  FROM bins b JOIN reference r USING (kind, lang, bin)
+  SELECT s.kind, s.k, s.p, coalesce(r.q, 0) AS q
+  FROM shares s JOIN d USING (k)
+  LEFT JOIN reference r ON r.kind = s.kind AND r.bin = s.bin AND r.own = d.own
 ), js AS (
   SELECT kind, k, sqrt(greatest(sum(
     CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
     + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS v
   FROM pq GROUP BY kind, k
 ), facts AS (
-  SELECT d.doc_id, d.lang, length(d.t) AS chars, len(w.ws) AS n_words,
-         length(regexp_replace(d.t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
-         len(regexp_extract_all(d.t, '[#*$%&|<>]')) AS n_symbols,
-         coalesce(l.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
-         c.v AS class_v, x.v AS word_v
-  FROM d JOIN w USING (k) LEFT JOIN lines l USING (k) LEFT JOIN repeats r USING (k)
+  SELECT d.doc_id, d.lang, d.own, length(d.t) AS chars, n_words, n_dup_lines, n_repeat_words,
+         base_failed, length(regexp_replace(d.t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         len(regexp_extract_all(d.t, '[#*$%&|<>]')) AS n_symbols, c.v AS class_v, x.v AS word_v
+  FROM d JOIN counted USING (k)
   JOIN js c ON c.k = d.k AND c.kind = 'class' JOIN js x ON x.k = d.k AND x.kind = 'word'
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       n_words < {limits.min_words} OR 100 * n_repeat_words > {limits.max_repeat_percent} * n_words
-         AS base_failed,
-       NOT (n_words < {limits.min_words}
-            OR 100 * n_repeat_words > {limits.max_repeat_percent} * n_words
-            OR (chars >= {limits.class_min_chars} AND class_v > {limits.class_distance})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed
+            OR (own IS NOT NULL AND chars >= {limits.class_min_chars}
+                AND class_v > {limits.class_distance})
             OR (n_words >= {limits.word_min_words} AND lang <> '*'
                 AND word_v > {limits.word_distance})) AS kept,
        round(class_v, 6) AS class_distance, round(word_v, 6) AS word_distance
