@@ -90,7 +90,7 @@ def shard_records(records: DataFrame, group: Column, record_id: Column, size: Co
         F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias("__row"),
         F.struct(F.xxhash64(group).alias("h"),
                  F.coalesce(record_id.cast("long"), F.lit(-(1 << 62))).alias("r"),
-                 (F.monotonically_increasing_id() % 4096).alias("s")).alias(_KEY),
+                 F.monotonically_increasing_id().alias("s")).alias(_KEY),
         F.greatest(F.coalesce(size.cast("long"), F.lit(1)), F.lit(1)).alias("size")))
 
     total, n = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()

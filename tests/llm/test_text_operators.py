@@ -61,6 +61,40 @@ def test_shards_are_whole_and_even(spark):
                                   7).count() == 0
 
 
+def test_shards_against_a_cut_of_the_sorted_list(spark):
+    rows = spark.range(3000).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("g"),
+        (F.pmod(F.xxhash64("id"), F.lit(500)) + F.when(F.col("id") == 77, 20_000).otherwise(1))
+        .alias("bytes"))
+    got = sharding.shard_records(rows, F.col("g"), F.col("id"), F.col("bytes"), 11).collect()
+    order = sorted((r.h, r.id, r.bytes) for r in rows.select(F.xxhash64("g").alias("h"), "id",
+                                                             "bytes").collect())
+    total, run, filled, want = sum(r[2] for r in order), 0, {}, {}
+    for _, key, size in order:
+        shard = min((2 * run + size) * 11 // (2 * total), 10)
+        want[key] = shard, filled.get(shard, 0)
+        filled[shard] = filled.get(shard, 0) + 1
+        run += size
+    assert {r.id: (r.shard, r.slot) for r in got} == want
+
+
+def test_equal_rows_are_cut_as_finely_as_others(spark):
+    rows = spark.range(20_000).select(F.lit(1).cast("long").alias("id"), F.lit("g").alias("g"))
+    got = sharding.shard_records(rows, F.col("g"), F.col("id"), F.lit(8), 24).groupBy("shard").count()
+    sizes = [r["count"] for r in got.collect()]
+    assert len(sizes) == 24 and max(sizes) - min(sizes) <= 1
+
+
+def test_the_broadcast_bound_of_counts(spark):
+    counts = [1] * 500 + [2] * 90 + list(range(900, 3000, 7)) + [10 ** 12 + 1, 10 ** 12 + 2]
+    df = spark.createDataFrame([(n,) for n in counts], "n long")
+    for room in (0, 1, 2, 50, 200, 350, 400, 10_000):
+        least = ppm._least(df, room)
+        held = sum(n >= least for n in counts)
+        assert held <= room
+        assert least == 1 or held + 95 > room  # the next group holds at most 90
+
+
 def test_rules_on_odd_texts(spark):
     got = {(r.doc_id, r.n_words): r for r in divergence.judge(documents(spark)).collect()}
     assert got[(7, 3000)].n_repeat_words == 3000 and not got[(7, 3000)].kept
@@ -295,7 +329,9 @@ def test_perfect_hash_is_minimal():
     assert sorted(held.slots(keys)) == list(range(5000))
 
 
-def test_url_rules(spark):
+@pytest.mark.parametrize("in_rows", [True, False])
+def test_url_rules(spark, in_rows, monkeypatch):
+    monkeypatch.setattr(url_rules, "ROW_RULES", 64 if in_rows else 0)
     urls = [None, "no scheme", "http://A.Example.org/es/1?x", "http://example.org/en/12",
             "http://example.org", "http://x.com/fr/#a", "http://notexample.org/es/",
             "http://m.spam-farm.net/", "http://spam-farm.example.org/en/2"]
@@ -314,6 +350,19 @@ def test_url_rules(spark):
     assert url_rules.judge(pages.limit(0)).count() == 0
 
 
+def test_many_rules_over_a_hot_url_both_ways(spark, monkeypatch):
+    rules = url_rules.default_rules() + [
+        url_rules.listed("block" if i % 2 else "allow", f"h{i % 7}.net/a{i}/") for i in range(50)]
+    pages = spark.range(6000).select("id", F.when(F.col("id") % 2 == 0, F.lit("http://h1.net/a1/x"))
+                                     .otherwise(F.format_string("http://h%s.net/a%s/y", F.col("id") % 7,
+                                                                F.col("id") % 60)).alias("url"))
+    in_rows = list(map(tuple, url_rules.judge(pages, rules).collect()))
+    monkeypatch.setattr(url_rules, "ROW_RULES", 0)
+    by_url = list(map(tuple, url_rules.judge(pages, rules).collect()))
+    assert len(in_rows) == 6000 and len({r[-2] for r in in_rows}) > 20
+    assert sorted(by_url, key=lambda r: r[0]) == sorted(in_rows, key=lambda r: r[0])
+
+
 def test_preference_pairs(spark):
     schema = "conv_id long, turn long, role string, text string"
     chosen = spark.createDataFrame(
