@@ -61,15 +61,18 @@ def _cells(df: DataFrame, hot: DataFrame, keys: list[str], own: str, other: str,
 
 
 def fanout_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                pairs_per_task: int = 1_000_000) -> DataFrame:
+                pairs_per_task: int = 1_000_000, repeats: bool = True) -> DataFrame:
     """Inner join on ``keys`` in which no key makes much more than
     ``pairs_per_task`` rows in a task.  Both inputs are read twice, so pass
     stored or frozen tables.  Repeated rows share a cell: distinct inputs split
-    best."""
+    best.  A caller that needs no repeated left rows says ``repeats=False``:
+    they are taken out where there is a hot key, and only there, so a feed
+    without one is not shuffled for it."""
     keys = list(keys)
     hot = hot_keys(left, right, keys, pairs_per_task)
     if hot.isEmpty():
         return left.join(right, keys)
+    left = left if repeats else left.distinct()
     on_left = _cells(left, hot, keys, _ROW, _COLUMN, "rows", "columns")
     on_right = _cells(right, hot, keys, _COLUMN, _ROW, "columns", "rows")
     return on_left.join(on_right, [*keys, _ROW, _COLUMN]).drop(_ROW, _COLUMN)

@@ -101,16 +101,17 @@ def append_new(existing: DataFrame | None, incoming: DataFrame,
 
 
 def lookup_id(df: DataFrame, dim: DataFrame, on: dict[str, str], id_col: str,
-              how: str = "inner", split_hot: bool = False) -> DataFrame:
+              how: str = "inner", split_hot: bool = False, repeats: bool = True) -> DataFrame:
     """Attach ``dim.id_col`` to ``df`` by natural key (K3).
 
     ``on`` maps a column of ``df`` to a column of ``dim``.  Join keys of the
     dimension are renamed to the ``df`` names, so the result keeps ``df``'s
     columns plus ``id_col``.  With ``split_hot`` a key that makes very many
-    rows is spread over tasks by its counted pairs; callers that pass distinct
-    rows of few per key do not need it.
+    rows is spread over tasks by its counted pairs (``repeats`` as in
+    ``fanout_join``); callers that pass distinct rows of few per key do not
+    need it.
     """
     right = dim.select(F.col(id_col), *[F.col(d).alias(s) for s, d in on.items()])
     if split_hot and how == "inner":
-        return fanout_join(df, right, list(on))
+        return fanout_join(df, right, list(on), repeats=repeats)
     return df.join(right, list(on), how)

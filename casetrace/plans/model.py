@@ -129,9 +129,11 @@ KEYED_COLUMNS = [
 def attach_person(staging: DataFrame, person: DataFrame) -> DataFrame:
     """K3 once for all person-keyed builders: the feed columns they read plus
     ``person_id``.  A (given, family, address) stored as several person
-    variants matches each of them, as the model defines."""
+    variants matches each of them, as the model defines.  Every builder takes
+    a distinct projection or a maximum of the result, so repeated records may
+    stay or go."""
     feed = staging.select(*PERSON_KEY, *KEYED_COLUMNS)
-    keyed = lookup_id(feed, person, PERSON_KEY, "person_id", split_hot=True)
+    keyed = lookup_id(feed, person, PERSON_KEY, "person_id", split_hot=True, repeats=False)
     return keyed.drop(*PERSON_KEY)
 
 
@@ -141,9 +143,7 @@ def write_keyed(staging: DataFrame, person: DataFrame, path: str | None = None)
     lost executor costs nothing to recompute."""
     spark = staging.sparkSession
     path = path or scratch_path(spark, "keyed")
-    # the builders read distinct projections, so repeated records go before the lookup
-    distinct = written(staging.select(*PERSON_KEY, *KEYED_COLUMNS).distinct(), "distinct")
-    attach_person(distinct, person).write.mode("overwrite").parquet(path)
+    attach_person(staging, person).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

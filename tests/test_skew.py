@@ -4,7 +4,7 @@ under the session's stock settings."""
 from pyspark.sql import functions as F
 
 from casetrace.operators.joins import fanout_join, hot_keys
-from casetrace.plans.model import build_associate, build_person, contact_rows
+from casetrace.plans.model import build_associate, build_model, build_person, contact_rows
 
 from feed_rows import d, records
 
@@ -40,6 +40,26 @@ def test_split_join_equals_plain_join(spark):
     assert split == plain and len(plain) == 40 * 25 + 50
 
 
+def test_repeated_left_rows_go_where_a_key_is_hot(spark):
+    left, right = _sides(spark, 40, 25)
+    left = left.unionByName(left)
+    plain = sorted(set(map(tuple, left.join(right, "name").collect())))
+    hot = fanout_join(left, right, ["name"], pairs_per_task=90, repeats=False)
+    assert sorted(map(tuple, hot.collect())) == plain and len(plain) == 40 * 25 + 50
+    cold = fanout_join(left, right, ["name"], repeats=False)
+    assert sorted(set(map(tuple, cold.collect()))) == plain
+
+
+def test_repeated_records_change_no_table(spark):
+    rows = [{"person_given": f"P{i}", "person_address": f"B{i}", "facility_name": "F",
+             "facility_address": "Z", "treatment": "T", "treatment_score": i,
+             "treated_from": d("2020-01-01"), "treated_to": d("2020-02-01"),
+             "associate_given": f"S{i}", "met_on": d("2020-01-03")} for i in range(3)]
+    once, twice = (build_model(records(spark, *feed)).tables() for feed in (rows, rows + rows[:2]))
+    for name, df in once.items():
+        assert sorted(map(str, df.collect())) == sorted(map(str, twice[name].collect())), name
+
+
 def test_lopsided_hot_key_is_whole(spark):
     left, right = _sides(spark, 1, 3000)
     assert fanout_join(left, right, ["name"], pairs_per_task=100).count() == 3050
