@@ -15,7 +15,8 @@ holds for them too; shorter items are hashed as a whole and, from 5 words on,
 with each word left out in turn (``short_masks``).
 
 A two-probe bit filter of the benchmark's hashes, of a fixed size, discards
-nearly all windows inside the row, before anything is exploded.  The index is
+nearly all windows inside the row, before anything is exploded; a first one, of
+the words that all masks keep, spares them the hashes under every mask.  The index is
 broadcast only while it has at most ``BROADCAST_ROWS`` rows and joined by
 shuffle beyond; the result is the same.
 
@@ -30,6 +31,7 @@ from __future__ import annotations
 import functools
 import itertools
 import operator
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -115,10 +117,32 @@ def _under(words: Column, masks: tuple[str, ...]) -> Column:
         ).otherwise(F.array().cast("array<struct<at:int,h:bigint>>"))
 
 
-def _windows(words: Column, widths: list[int]) -> Column:
-    """Seeds of a document against items of these widths."""
-    short = [_under(words, short_masks(w)) for w in widths if 0 < w < SPAN]
-    return F.concat(_under(words, masks_for(widths)), *short)
+def _core(masks: tuple[str, ...]) -> list[int]:
+    """Places that every one of the masks keeps."""
+    return [i for i in range(len(masks[0])) if all(mask[i] == "1" for mask in masks)]
+
+
+def _core_hash(words: Column, at: Column, core: list[int]) -> Column:
+    return F.xxhash64(F.lit(-1), *[F.get(words, at + i) for i in core])
+
+
+def _windows(words: Column, widths: list[int], passes: Callable[[Column], Column],
+             core_passes: Callable[[Column], Column] | None) -> Column:
+    """Seeds of a document against items of these widths that pass the filter.
+    Windows of ``SPAN`` words are first judged by the places that all masks
+    keep, with one hash; only those that pass are hashed under every mask."""
+    masks = masks_for(widths)
+    core = _core(masks)
+    held = [_under(words, short_masks(w)) for w in widths if 0 < w < SPAN]
+    if core_passes is None or not core:
+        held.insert(0, _under(words, masks))
+    else:
+        starts = F.filter(F.sequence(F.lit(0), F.size(words) - SPAN),
+                          lambda i: core_passes(_core_hash(words, i, core)))
+        held.insert(0, F.when(F.size(words) >= SPAN, F.flatten(F.transform(
+            starts, lambda i: _seeds(words, i, masks)))).otherwise(
+            F.array().cast("array<struct<at:int,h:bigint>>")))
+    return F.filter(F.concat(*held), lambda s: passes(s["h"]))
 
 
 def _item_windows(words: Column, widths: list[int]) -> Column:
@@ -151,6 +175,13 @@ def index(items: DataFrame) -> tuple[DataFrame, list[int]]:
         .where("h is not null").distinct()), widths
 
 
+def _core_seeds(seeds: DataFrame, widths: list[int]) -> DataFrame:
+    """Hashes of the places that all masks keep, of every indexed window."""
+    core = _core(masks_for(widths))
+    return seeds.where(F.col("width") >= SPAN).select(
+        _core_hash(F.col("around"), F.lit(_BEFORE), core).alias("h")).distinct()
+
+
 def _bit_filter(seeds: DataFrame) -> Column:
     """The filter as a constant of fixed size."""
     bits = functools.reduce(DataFrame.unionByName, [
@@ -165,14 +196,17 @@ def matches(docs: DataFrame, items: DataFrame, key: str) -> DataFrame:
     """(``key``, ``item_id``, ``agreeing``) of every document and item that
     share a passage; ``agreeing`` is the best run's number of equal places."""
     seeds, widths = index(items)
-    held = _bit_filter(seeds)
 
-    def passes(h: Column) -> Column:
-        return functools.reduce(operator.and_, [
+    def filtered(own: DataFrame) -> Callable[[Column], Column]:
+        held = _bit_filter(own)
+        return lambda h: functools.reduce(operator.and_, [
             F.getbit(F.get(held, word), bit) == 1 for word, bit in _probes(h)])
 
+    passes = filtered(seeds)
+    core_passes = filtered(_core_seeds(seeds, widths)) if _core(masks_for(widths)) else None
+
     own = docs.select(key, "text").withColumn("__w", word_hashes(F.col("text"))).drop("text")
-    own = own.withColumn("__s", F.filter(_windows(F.col("__w"), widths), lambda s: passes(s["h"])))
+    own = own.withColumn("__s", _windows(F.col("__w"), widths, passes, core_passes))
     own = own.withColumn("__s", F.transform("__s", lambda s: F.struct(
         s["h"].alias("h"), _around(F.col("__w"), s["at"]).alias("doc"))))
     # explode_outer: a filter on the array, which explode implies, would be

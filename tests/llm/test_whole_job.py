@@ -197,3 +197,21 @@ def test_decontamination_stage_against_the_rule(spark):
             want.add(r.doc_id)
     assert kept_ids(P.benchmark_decontamination(spark, docs, SF)) == want
     assert len(want) < docs.count()
+
+
+def test_core_filter_spares_seeds_and_loses_none(spark):
+    """Only windows whose always-kept words are in an item get hashed under
+    every mask, and every seed of an item's own text is still found."""
+    from pyspark.sql import functions as F
+    items = table(spark, SF, "benchmark").select("item_id", "text")
+    seeds, widths = decontamination.index(items)
+    words = decontamination.word_hashes(F.col("text"))
+    known = {r["h"] for r in decontamination._core_seeds(seeds, widths).collect()}
+
+    def seeds_of(core_passes):
+        made = items.select(F.explode(decontamination._windows(
+            words, widths, lambda h: F.lit(True), core_passes)).alias("s")).select("s.*")
+        return sorted(map(tuple, made.collect()))
+    every = seeds_of(None)
+    assert every and seeds_of(lambda h: h.isin(*known)) == every
+    assert not seeds_of(lambda h: F.lit(False))
