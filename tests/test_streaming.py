@@ -75,3 +75,23 @@ def test_swapped_columns_and_rejected_values(spark, scratch):
     rejected = spark.read.parquet(f"{scratch}/model/_rejected").collect()
     assert [(r.column_name, r.raw_value) for r in rejected] == [("met_on", "2020")]
     assert '"person_given":"Bo"' in rejected[0].record
+
+
+def test_a_batch_keeps_parquet_only(spark, scratch):
+    """The parsed records, the rejected values and the new rows of a batch come
+    from parquet: no uncompressed copy of the feed is checkpointed."""
+    from unittest import mock
+
+    from casetrace.sources.case_feed import to_feed_text
+    from casetrace.streaming import append_batch
+    from pyspark.sql.classic.dataframe import DataFrame
+    text = to_feed_text(records(spark, {}, {"person_given": "Eva"}), original_header=False)
+    rows, plain = [], DataFrame.checkpoint
+
+    def seen(self, *args, **kw):
+        rows.append(self.columns)
+        return plain(self, *args, **kw)
+    with mock.patch.object(DataFrame, "checkpoint", seen):
+        assert append_batch(text, f"{scratch}/model", 0)["person"] == 2
+    # the grid sizes of hot keys, of which there are none
+    assert all({"rows", "columns"} <= set(c) for c in rows)
