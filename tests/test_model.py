@@ -91,3 +91,21 @@ def test_all_constraints_hold_on_a_clean_feed(spark):
 def test_long_facility_name_is_reported(spark):
     m = build_model(records(spark, {"facility_name": "N" * 60}))
     assert check(m, "max_length", "facility")["name"] == 1
+
+
+def test_long_keys_are_compared_whole_but_grouped_short(spark):
+    from pyspark.sql import functions as F
+    from casetrace.operators.quality import KEY_BYTES, foreign_key_check, short_key, unique_check
+    long = "x" * 3000
+    keys = [(long, "a"), (long, "a"), (long + "y", "a"), (long, None), (long, None), (long, ""),
+            ("é" * 100, "b"), ("é" * 100, "b"), (None, long), (None, long), (None, None), (None, None),
+            ("12:a", "1:b"), ("s", "t"), ("s", "t"), (long + "1:", "a"), (long, "1:a")]
+    df = spark.createDataFrame(keys, "given string, family string")
+    plain = df.groupBy("given", "family").count().where("count > 1").count()
+    assert unique_check("associate", df, ["given", "family"], "natural_key").first()["n"] == plain == 6
+    held = df.select(*short_key(df, ["given", "family"]))
+    assert held.select(F.max(sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in held.columns))).first()[0] <= KEY_BYTES
+    # orphans are counted per key before the join, and by rows
+    child = spark.createDataFrame([(1,), (2,), (2,), (9,), (None,)], "person_id long")
+    assert foreign_key_check("contact", child, "person_id", spark.range(2), "id").first()["n"] == 3
+    assert foreign_key_check("contact", child, "person_id", spark.range(10), "id").first()["n"] == 0
