@@ -74,3 +74,16 @@ def test_numbered_copy_joins_back_to_its_source(spark):
     best = src.join(kinds, "k").groupBy(F.col("v") % 2).agg(F.max("rank").alias("rank"))
     back = best.join(kinds, "rank").select("rank", "k")
     assert sorted(r.k for r in back.collect()) == ["6", "6"]
+
+
+def test_ids_need_no_stored_position(spark):
+    """A place is the file and the index in it; several files a partition count on."""
+    src = spark.range(0, 5000).select(((F.col("id") * 7919) % 5000).alias("k"))
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "100")
+    try:
+        out = assign_ids(src, ["k"], "id", num_partitions=4)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert len(out.inputFiles()) > 40
+    assert _ids(out) == [(k + 1, k) for k in range(5000)]
+    assert spark.read.parquet(*out.inputFiles()).columns == ["k"]

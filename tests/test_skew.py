@@ -86,3 +86,15 @@ def test_hot_pairs_are_spread_under_stock_settings(spark):
     assert grid["rows"] * grid["columns"] == 100
     assert sum(per_task) == 1_000_000 + 50
     assert max(per_task) < 200_000
+
+
+def test_without_a_hot_key_only_numbers_are_counted(spark, monkeypatch):
+    from casetrace.operators import joins
+    left, right = _sides(spark, 40, 25)
+    monkeypatch.setattr(joins, "hot_keys", lambda *a: 1 / 0)
+    plain = fanout_join(left, right, ["name"])
+    assert plain.count() == 40 * 25 + 50
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    merged = fanout_join(left, right, ["name"])
+    assert "BroadcastHashJoin" not in merged._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, plain.collect()))
